@@ -43,14 +43,18 @@ def components_error(dataset_id: Column, names: Names) -> Column:
 def drs_pairs(dataset_id: Column, names: Names) -> Column:
     """Ordered (name, value) structs; a repeated name keeps its last value. Null when the count is wrong."""
     arr, parts = _name_array(names), components(dataset_id, names)
-    last_first = F.reverse(arr)
-    pairs = F.transform(
-        F.array_distinct(arr),
-        lambda n: F.struct(
-            n.alias("name"),
-            F.get(parts, (F.size(arr) - F.array_position(last_first, n)).cast("int")).alias("value"),
-        ),
-    )
+    if isinstance(names, Column):
+        last_first = F.reverse(arr)
+        pairs = F.transform(
+            F.array_distinct(arr),
+            lambda n: F.struct(
+                n.alias("name"),
+                F.get(parts, (F.size(arr) - F.array_position(last_first, n)).cast("int")).alias("value"),
+            ),
+        )
+    else:
+        place = {name: i for i, name in enumerate(names)}
+        pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.get(parts, i).alias("value")) for n, i in place.items()])
     return F.when(F.size(parts) == F.size(arr), pairs)
 
 

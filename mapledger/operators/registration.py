@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mapledger import schemas
@@ -43,21 +43,16 @@ def scan_mapfiles(lines: DataFrame, include_files: bool = False) -> DataFrame:
         F.min(F.when(bad_size.isNotNull(), F.struct("line_no", bad_size.alias("text")))).alias("bad_size"),
         F.count_if("well_formed").alias("n_lines"),
     )
-    per_file = per_id.groupBy("mapfile").agg(
-        F.min(F.when(F.col("first_line").isNotNull(), F.struct("first_line", "dataset_id"))).alias("head"),
-        F.count("first_line").alias("n_ids"),
+    # Normally one row per mapfile is left here. The running first value streams over them.
+    in_file = Window.partitionBy("mapfile").orderBy(F.asc_nulls_last("first_line"))
+    per_id = per_id.withColumn("head_id", F.first("dataset_id").over(in_file))
+    f = per_id.groupBy("mapfile").agg(
+        F.min("head_id").alias("head_id"),
+        F.min(F.when(F.col("dataset_id") != F.col("head_id"), F.col("first_line"))).alias("second_line"),
         F.min("malformed").alias("malformed"),
         F.min("bad_size").alias("bad_size"),
         F.sum("n_lines").alias("n_files"),
     )
-    # Only files with several ids need the line where the second one starts.
-    heads = per_file.filter(F.col("n_ids") > 1).select("mapfile", F.col("head.dataset_id").alias("head_id"))
-    second = (
-        per_id.filter(F.col("first_line").isNotNull()).join(heads, "mapfile")
-        .filter(F.col("dataset_id") != F.col("head_id"))
-        .groupBy("mapfile").agg(F.min("first_line").alias("second_line"))
-    )
-    f = per_file.join(second, "mapfile", "left")
     name = F.col("mapfile")
     # Message formats.
     problems = F.array_compact(F.array(
@@ -85,11 +80,11 @@ def scan_mapfiles(lines: DataFrame, include_files: bool = False) -> DataFrame:
     ))
     error = F.coalesce(
         F.get(F.array_sort(problems), 0)["text"],
-        F.when(F.col("head").isNull(), F.concat(F.lit("No dataset found in "), name)),
+        F.when(F.col("head_id").isNull(), F.concat(F.lit("No dataset found in "), name)),
     )
     return f.select(
         "mapfile",
-        F.when(error.isNull(), F.col("head.dataset_id")).alias("dataset_id"),
+        F.when(error.isNull(), F.col("head_id")).alias("dataset_id"),
         F.when(error.isNull(), F.col("n_files")).alias("n_files"),
         error.alias("error"),
     )
