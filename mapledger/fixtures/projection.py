@@ -89,7 +89,7 @@ from events join datasets d on d.o_orderkey = event_id % 1499
     "publisher_log": """
 select concat('run-', cast(event_id % 3 as string)) as run_id, cast((event_id - event_id % 50) / 50 as bigint) as batch_no, event_id as line_no,
   d.dataset_id,
-  case event_type
+  case case when event_id % 650 >= 150 and event_id % 650 < 200 and event_type in ('purchase', 'error') then 'quiet' else event_type end
     when 'purchase' then concat('INFO PUB_STATUS=PASS id=', replace(d.dataset_id, '#', '.v'), '|node.example')
     when 'error' then concat('INFO PUB_STATUS=FAIL id=', replace(d.dataset_id, '#', '.v'), '|node.example')
     when 'click' then

@@ -212,7 +212,7 @@ def _violations(items: DataFrame, schemas: DataFrame) -> DataFrame:
     place = F.concat(F.col("_root"), F.substr(F.col("r.parent"), F.lit(2)))
     value = F.to_json(F.try_variant_get(F.col("_doc"), place, "variant"))
     # Numbers keep the spelling of the document.
-    spelled = F.get_json_object(F.col("doc"), place)
+    spelled = F.call_function("get_json_object", F.col("doc"), place)
     shown = F.when(value.startswith('"') | value.startswith("{") | value.startswith("["), value).otherwise(
         F.coalesce(spelled, value)
     )

@@ -15,7 +15,12 @@ from registry.common import (
 )
 
 Q, SQL = {}, {}
-_ID = F.col("dataset_id")
+
+
+def _id():
+    return F.col("dataset_id")
+
+
 _NAMES = list(schemas.DRS_FIELDS)
 
 # ---- identifiers ----
@@ -24,8 +29,8 @@ _NAMES = list(schemas.DRS_FIELDS)
 def _odd_ids(c):
     """Ids with a component too many and with a `v` already before the version, by key."""
     k = F.col("o_orderkey")
-    odd = F.when(k % 5 == 0, F.concat(_ID, F.lit(".extra"))).when(k % 5 == 1, F.replace(_ID, F.lit("#"), F.lit("#v"))).when(
-        k % 5 == 2, F.replace(_ID, F.lit("#"), F.lit(".v"))).when(k % 5 == 3, F.replace(_ID, F.lit("gr#"), F.lit("a#b/c#"))).otherwise(_ID)
+    odd = F.when(k % 5 == 0, F.concat(_id(), F.lit(".extra"))).when(k % 5 == 1, F.replace(_id(), F.lit("#"), F.lit("#v"))).when(
+        k % 5 == 2, F.replace(_id(), F.lit("#"), F.lit(".v"))).when(k % 5 == 3, F.replace(_id(), F.lit("gr#"), F.lit("a#b/c#"))).otherwise(_id())
     return c.datasets.withColumn("dataset_id", odd)
 
 
@@ -36,31 +41,31 @@ _ODD = """odd as (select * replace (case o_orderkey % 5 when 0 then dataset_id |
   parsed as (select * replace (case when len(parts) = 10 then parts end as parts), len(parts) as n_parts from split_once)"""
 
 Q["parse_drs"] = lambda c: _odd_ids(c).select(
-    _ID, *[ids.drs_map(_ID, _NAMES)[n].alias(n) for n in ("project", "experiment", "grid", "version")],
-    ids.drs_json(_ID, _NAMES).alias("drs"), ids.components_error(_ID, _NAMES).alias("error"))
+    _id(), *[ids.drs_map(_id(), _NAMES)[n].alias(n) for n in ("project", "experiment", "grid", "version")],
+    ids.drs_json(_id(), _NAMES).alias("drs"), ids.components_error(_id(), _NAMES).alias("error"))
 SQL["parse_drs"] = f"""with {_ODD} select dataset_id, parts[1] as project, parts[5] as experiment, parts[9] as grid, parts[10] as version,
   case when parts is not null then '{{' || """ + " || ', ' || ".join(
     f"'\"{n}\": \"' || parts[{i}] || '\"'" for i, n in enumerate(_NAMES, 1)) + """ || '}' end as drs,
   case when n_parts <> 10 then 'Unexpected DRS format: dataset ID contains ' || n_parts || ' components, but ESGVOC defines 10 DRS components: ' || dataset_id end as error
 from parsed"""
 
-Q["drs_prefix"] = lambda c: _odd_ids(c).select(_ID, ids.drs_prefix(_ID, "experiment").alias("prefix"))
+Q["drs_prefix"] = lambda c: _odd_ids(c).select(_id(), ids.drs_prefix(_id(), "experiment").alias("prefix"))
 SQL["drs_prefix"] = f"with {_ODD} select dataset_id, array_to_string(parts[1:5], '/') as prefix from parsed"
 
-Q["publisher_id"] = lambda c: _odd_ids(c).select(_ID, ids.publisher_id(_ID).alias("published_as"))
+Q["publisher_id"] = lambda c: _odd_ids(c).select(_id(), ids.publisher_id(_id()).alias("published_as"))
 SQL["publisher_id"] = f"""with {_ODD} select dataset_id, case when not contains(dataset_id, '#') then dataset_id else
   regexp_extract(dataset_id, '^(.*)#([^#]*)$', 1) || case when regexp_extract(dataset_id, '^(.*)#([^#]*)$', 2) like 'v%' then '.' else '.v' end
   || regexp_extract(dataset_id, '^(.*)#([^#]*)$', 2) end as published_as from odd"""
 
-Q["item_url"] = lambda c: _odd_ids(c).select(_ID, ids.item_url(BASE_URL, F.concat("project", F.lit(" ~*+ä")), _ID).alias("url"))
+Q["item_url"] = lambda c: _odd_ids(c).select(_id(), ids.item_url(BASE_URL, F.concat("project", F.lit(" ~*+ä")), _id()).alias("url"))
 SQL["item_url"] = f"""with {_ODD} select dataset_id, '{BASE_URL}/collections/' || url_encode(project || ' ~*+ä') || '/items/' || url_encode(dataset_id) as url from odd"""
 
-Q["safe_filename"] = lambda c: _odd_ids(c).select(_ID, ids.safe_filename(_ID).alias("file_name"))
+Q["safe_filename"] = lambda c: _odd_ids(c).select(_id(), ids.safe_filename(_id()).alias("file_name"))
 SQL["safe_filename"] = f"with {_ODD} select dataset_id, replace(replace(dataset_id, '/', '_'), '#', '.v') as file_name from odd"
 
 Q["normalize_id"] = lambda c: c.datasets.select(
-    "o_orderkey", normalize_id(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(" \t"), _ID, F.lit("\n "))).when(
-        F.col("o_orderkey") % 3 == 1, _ID)).alias("id"))
+    "o_orderkey", normalize_id(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(" \t"), _id(), F.lit("\n "))).when(
+        F.col("o_orderkey") % 3 == 1, _id())).alias("id"))
 SQL["normalize_id"] = "select o_orderkey, case when o_orderkey % 3 = 2 then '' else dataset_id end as id from datasets"
 
 # ---- mapfile lines ----
@@ -203,8 +208,8 @@ def _changes(c):
     k = F.col("o_orderkey")
     base = c.datasets.join(_prints(c).withColumnRenamed("mapfile_checksum", "new_sum"), "mapfile")
     return base.filter(k % 4 != 1).select(
-        F.when(k % 20 == 2, F.concat(F.lit("New."), _ID)).otherwise(_ID).alias("dataset_id"), "campaign", "project", "activity",
-        F.lit("moved").alias("institution"), ids.drs_json(_ID, _NAMES).alias("drs"), F.concat("mapfile", F.lit(".new")).alias("mapfile"),
+        F.when(k % 20 == 2, F.concat(F.lit("New."), _id())).otherwise(_id()).alias("dataset_id"), "campaign", "project", "activity",
+        F.lit("moved").alias("institution"), ids.drs_json(_id(), _NAMES).alias("drs"), F.concat("mapfile", F.lit(".new")).alias("mapfile"),
         F.col("new_sum").alias("mapfile_checksum"))
 
 
