@@ -109,7 +109,7 @@ def payload_size(record_bytes: Column) -> Column:
 
 def json_kind(variant: Column) -> Column:
     """Type name of a variant value: OBJECT, ARRAY, STRING, ... ; null when absent."""
-    return F.regexp_extract(F.schema_of_variant(variant), "^[A-Z]+", 0)
+    return F.substring_index(F.substring_index(F.schema_of_variant(variant), "<", 1), "(", 1)
 
 
 def member(variant: Column, path: str | Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mapledger import schemas
 from mapledger.functions import logs, states
+from mapledger.functions.once import with_once
 from mapledger.operators import publication
 
 
@@ -19,7 +20,7 @@ def server_errors(log: DataFrame, scope: list[str]) -> DataFrame:
     one line before any of its JSON is read.
     """
     hit = logs.last_server_error(F.col("line"))
-    lines = log.filter(F.col("line").contains(logs.SERVER_MARK)).withColumn("_hit", hit).filter(F.col("_hit").isNotNull())
+    lines = with_once(log.filter(F.col("line").contains(logs.SERVER_MARK)), _hit=hit).filter(F.col("_hit").isNotNull())
     last = lines.groupBy(*scope).agg(F.max_by("_hit", "line_no").alias("_hit"))
     last = last.select(*scope, F.col("_hit.status").alias("server_status"), F.col("_hit.body").alias("server_body"))
     return logs.server_fields(last).drop("server_status", "server_body")
@@ -34,10 +35,10 @@ def line_errors(log: DataFrame) -> DataFrame:
 def enum_failures(log: DataFrame) -> DataFrame:
     """Rejected value and suggestion of every line that names a rejected value."""
     hit = logs.last_server_error(F.col("line"))
-    rows = log.filter(F.col("line").contains(logs.SERVER_MARK)).withColumn("_body", hit["body"])
-    detail = F.get_json_object(F.col("_body"), "$.detail")
-    value, choices = logs.enum_parts(detail)
-    rows = rows.withColumn("_v", value).withColumn("_c", choices).filter(F.col("_v").isNotNull())
+    rows = with_once(log.filter(F.col("line").contains(logs.SERVER_MARK)), _body=hit["body"])
+    rows = with_once(rows, _detail=F.get_json_object(F.col("_body"), "$.detail"))
+    value, choices = logs.enum_parts(F.col("_detail"))
+    rows = with_once(rows, _v=value, _c=choices).filter(F.col("_v").isNotNull())
     rows = rows.withColumn("_e", logs.enum_verdict(F.col("_v"), F.col("_c")))
     return rows.select(
         *[c for c in log.columns if c != "line"],

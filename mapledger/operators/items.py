@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mapledger.functions import schema_rules, states
 from mapledger.functions.ids import publisher_id
+from mapledger.functions.once import with_once
 from mapledger.functions.text import json_kind, member, text_member
 
 # Members every item needs, with their JSON kind and the check names and texts of the item model.
@@ -106,15 +107,16 @@ def parsed(items: DataFrame) -> DataFrame:
     no_schema = F.array(_issue(
         F.lit("$.stac_extensions"), F.lit("must contain at least one schema URL"), none, none
     ))
-    out = items.withColumn("_doc", F.try_parse_json(F.col("doc")))
-    out = out.withColumn("_structure", F.when(doc.isNotNull(), _structure_issues(doc, F.col("doc"))))
-    return out.withColumn(
-        "_issues",
+    out = with_once(items, _doc=F.try_parse_json(F.col("doc")))
+    out = with_once(out, _structure=F.when(doc.isNotNull(), _structure_issues(doc, F.col("doc"))))
+    issues = (
         F.when(doc.isNull(), no_json).when(F.size("_structure") > 0, F.col("_structure"))
-        .when(F.coalesce(F.size(extensions), F.lit(0)) < 1, no_schema),
-    ).withColumn(
-        "_source", F.when(doc.isNull(), F.lit("stac-item-json")).otherwise(F.lit("stac-core"))
-    ).withColumn("_urls", F.when(F.col("_issues").isNull(), extensions)).drop("_structure")
+        .when(F.coalesce(F.size(extensions), F.lit(0)) < 1, no_schema)
+    )
+    out = with_once(
+        out, _issues=issues, _source=F.when(doc.isNull(), F.lit("stac-item-json")).otherwise(F.lit("stac-core"))
+    )
+    return out.withColumn("_urls", F.when(F.col("_issues").isNull(), extensions)).drop("_structure")
 
 
 def structure_issues(items: DataFrame) -> DataFrame:
@@ -125,45 +127,83 @@ def structure_issues(items: DataFrame) -> DataFrame:
     )
 
 
-def _violates(doc: Column, root: Column, rule: Column) -> Column:
-    """Whether a rule fails at a document. Rules about an absent value hold."""
-    path = F.concat(root, F.substr(rule["path"], F.lit(2)))
-    parent = F.concat(root, F.substr(rule["parent"], F.lit(2)))
-    value = F.try_variant_get(doc, path, "variant")
-    present = value.isNotNull()
-    kind = json_kind(value)
-    text = F.try_variant_get(doc, path, "string")
-    number = F.try_variant_get(doc, path, "double")
-    numeric = kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
-    whole = (kind == "BIGINT") | (numeric & (number == F.floor(number)))
-
-    def fits(name: Column, k: Column, is_whole: Column, is_number: Column) -> Column:
-        return (
-            ((name == "object") & (k == "OBJECT")) | ((name == "array") & (k == "ARRAY"))
-            | ((name == "string") & (k == "STRING")) | ((name == "boolean") & (k == "BOOLEAN"))
-            | ((name == "null") & (k == "VOID")) | ((name == "integer") & is_whole) | ((name == "number") & is_number)
+_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+
+
+def _fits(name: Column, kind: Column, whole: Column) -> Column:
+    """Whether a value of a JSON kind has a schema type."""
+    return (
+        F.when(name == "object", kind == "OBJECT").when(name == "array", kind == "ARRAY")
+        .when(name == "string", kind == "STRING").when(name == "boolean", kind == "BOOLEAN")
+        .when(name == "null", kind == "VOID").when(name == "integer", whole)
+        .when(name == "number", kind.isin(*_NUMBERS)).otherwise(F.lit(False))
+    )
+
+
+def _looked_up(doc: Column, root: Column, members: Column, properties: Column, rules: Column) -> Column:
+    """Each rule with the value it judges and what its kind needs to know of it, read once.
+
+    Members of the item and of its properties come from two maps made once per item;
+    only deeper values are looked up by path.
+    """
+    below = F.substr(root, F.lit(2))
+
+    def look_up(r: Column) -> Column:
+        steps = F.when(root == "$", r["steps"]).otherwise(F.concat(F.array(F.lit("properties")), r["steps"]))
+        return F.struct(r.alias("r"), steps.alias("steps"), F.size(steps).alias("n"))
+
+    def read(x: Column) -> Column:
+        path = F.concat(F.lit("$"), F.array_join(F.transform(x["steps"], lambda s: F.concat(F.lit("['"), s, F.lit("']"))), ""))
+        value = (
+            F.when(x["n"] == 0, doc)
+            .when(x["n"] == 1, F.try_element_at(members, F.get(x["steps"], 0)))
+            .when((x["n"] == 2) & (F.get(x["steps"], 0) == "properties"), F.try_element_at(properties, F.get(x["steps"], 1)))
+            .otherwise(F.try_variant_get(doc, path, "variant"))
+        )
+        place = F.concat(F.lit("$"), below, F.substr(x["r"]["place"], F.lit(2)))
+        # An absent value only matters where its owner is an object.
+        owned = F.when((x["r"]["kind"] == "required") & value.isNull(), (
+            F.when(x["n"] == 1, F.lit(True))
+            .when((x["n"] == 2) & (F.get(x["steps"], 0) == "properties"), properties.isNotNull())
+            .otherwise(json_kind(F.try_variant_get(doc, place, "variant")) == "OBJECT")
+        ))
+        return F.struct(x["r"].alias("r"), value.alias("value"), place.alias("place"), owned.alias("owned"))
+
+    def detail(f: Column) -> Column:
+        kind, value = f["r"]["kind"], f["value"]
+        return F.struct(
+            f["r"].alias("r"), value.alias("value"), f["place"].alias("place"), f["owned"].alias("owned"),
+            F.when(~kind.isin("required", "enum", "const", "unsupported"), json_kind(value)).alias("kind"),
+            F.when(kind.isin("enum", "const", "pattern"), F.try_variant_get(value, "$", "string")).alias("text"),
+            F.when(kind.isin("minimum", "maximum", "type"), F.try_variant_get(value, "$", "double")).alias("number"),
         )
 
-    members = F.try_variant_get(doc, path, "array<variant>")
-    wrong_member = F.exists(
-        members,
-        lambda v: ~F.exists(rule["accepted"], lambda n: fits(
-            n, json_kind(v),
-            (json_kind(v) == "BIGINT"), json_kind(v).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"),
-        )),
+    return F.transform(F.transform(F.transform(rules, look_up), read), detail)
+
+
+def _is_broken(f: Column) -> Column:
+    """Whether a rule fails. Rules about an absent value hold."""
+    rule, kind, number = f["r"], f["kind"], f["number"]
+    present = f["value"].isNotNull()
+    whole = (kind == "BIGINT") | (kind.isin(*_NUMBERS) & (number == F.floor(number)))
+    members = F.transform(
+        F.try_variant_get(f["value"], "$", "array<variant>"),
+        lambda v: F.struct(json_kind(v).alias("kind"), F.try_variant_get(v, "$", "double").alias("number")),
     )
-    parent_is_object = json_kind(F.try_variant_get(doc, parent, "variant")) == "OBJECT"
+    odd_member = F.exists(members, lambda m: ~F.exists(rule["accepted"], lambda n: _fits(
+        n, m["kind"], (m["kind"] == "BIGINT") | (m["kind"].isin(*_NUMBERS) & (m["number"] == F.floor(m["number"])))
+    )))
     verdict = (
-        F.when(rule["kind"] == "required", parent_is_object & ~present)
-        .when(rule["kind"] == "unsupported", present)
+        F.when(rule["kind"] == "required", ~present & f["owned"])
         .when(~present, F.lit(False))
-        .when(rule["kind"] == "type", ~F.exists(rule["accepted"], lambda n: fits(n, kind, whole, numeric)))
-        .when(rule["kind"].isin("enum", "const"), ~F.array_contains(rule["accepted"], F.coalesce(text, F.lit("null"))))
-        .when(rule["kind"] == "minimum", numeric & (number < rule["number"]))
-        .when(rule["kind"] == "maximum", numeric & (number > rule["number"]))
-        .when(rule["kind"] == "pattern", (kind == "STRING") & ~F.rlike(text, F.get(rule["accepted"], 0)))
+        .when(rule["kind"] == "unsupported", F.lit(True))
+        .when(rule["kind"] == "type", ~F.exists(rule["accepted"], lambda n: _fits(n, kind, whole)))
+        .when(rule["kind"].isin("enum", "const"), ~F.array_contains(rule["accepted"], F.coalesce(f["text"], F.lit("null"))))
+        .when(rule["kind"] == "minimum", kind.isin(*_NUMBERS) & (number < rule["number"]))
+        .when(rule["kind"] == "maximum", kind.isin(*_NUMBERS) & (number > rule["number"]))
+        .when(rule["kind"] == "pattern", (kind == "STRING") & ~F.rlike(f["text"], F.get(rule["accepted"], 0)))
         .when(rule["kind"] == "minItems", (kind == "ARRAY") & (F.size(members) < rule["number"]))
-        .when(rule["kind"] == "items.type", (kind == "ARRAY") & wrong_member)
+        .when(rule["kind"] == "items.type", (kind == "ARRAY") & odd_member)
     )
     return F.coalesce(verdict, F.lit(False))
 
@@ -181,45 +221,60 @@ def item_schemas(items: DataFrame, schemas: DataFrame) -> DataFrame:
     ``schemas`` is the flattened registry: few rows, so the planner sends it to the items
     when it is small enough and otherwise joins on the address.
     """
-    p = parsed(items).filter(F.col("_issues").isNull())
-    e = p.select("item_id", "doc", "_doc", F.posexplode("_urls").alias("schema_no", "url"))
-    return e.join(schemas, "url", "left")
+    p = parsed(items)
+    return p.select("item_id", F.posexplode("_urls").alias("schema_no", "url")).join(schemas, "url", "left")
+
 
+def _judged(items: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Items with each declared schema, the part it governs and the rules broken there.
 
-def _governed(items: DataFrame, schemas: DataFrame) -> DataFrame:
-    e = item_schemas(items, schemas)
-    root = schema_root(
-        F.col("contract"), F.json_object_keys(F.col("doc")),
-        json_kind(member(F.col("_doc"), "$.properties")) == "OBJECT",
+    Items with earlier issues keep one row without a schema. One pass over the documents;
+    rules are tested inside the item row and only failures are kept.
+    """
+    p = parsed(items)
+    doc = F.col("_doc")
+    p = with_once(
+        p, _members=F.try_variant_get(doc, "$", "map<string,variant>"),
+        _props=F.try_variant_get(doc, "$.properties", "map<string,variant>"),
     )
-    return e.withColumn("_root", root)
+    e = p.select(
+        "item_id", "doc", "_doc", "_members", "_props", "_issues", "_source", F.posexplode_outer("_urls").alias("schema_no", "url")
+    ).join(schemas, "url", "left")
+    root = schema_root(F.col("contract"), F.map_keys("_members"), F.col("_props").isNotNull())
+    e = with_once(e, _root=root)
+    found = F.filter(_looked_up(doc, F.col("_root"), F.col("_members"), F.col("_props"), F.col("rules")), _is_broken)
+    kept = F.transform(found, lambda f: F.struct(
+        (-f["r"]["depth"]).alias("above"), f["place"].alias("path"), f["r"]["rule_no"].alias("rule_no"),
+        f["r"]["kind"].alias("kind"), f["r"]["arg"].alias("arg"),
+    ))
+    return with_once(e, _broken=F.when(F.col("_issues").isNull(), F.array_sort(kept))).drop("_members", "_props", "rules")
 
 
 def schema_targets(items: DataFrame, schemas: DataFrame) -> DataFrame:
     """Which part of each item its declared schemas govern."""
-    return _governed(items, schemas).select(
-        "item_id", "schema_no", "url",
-        F.when(F.col("contract").isNotNull(), F.col("_root")).alias("target"),
-    )
+    p = parsed(items).filter(F.col("_issues").isNull())
+    e = p.select("item_id", "_doc", F.posexplode("_urls").alias("schema_no", "url")).join(schemas, "url", "left")
+    members = F.try_variant_get("_doc", "$", "map<string,variant>")
+    root = schema_root(F.col("contract"), F.map_keys(members), json_kind(member(F.col("_doc"), "$.properties")) == "OBJECT")
+    return e.select("item_id", "schema_no", "url", F.when(F.col("contract").isNotNull(), root).alias("target"))
 
 
-def _violations(items: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per broken rule. Rules are tested inside the item row; only failures become rows."""
-    g = _governed(items, schemas).withColumn(
-        "_broken", F.filter(F.col("rules"), lambda r: _violates(F.col("_doc"), F.col("_root"), r))
-    )
-    b = g.select("item_id", "schema_no", "url", "doc", "_doc", "_root", F.explode("_broken").alias("r"))
-    place = F.concat(F.col("_root"), F.substr(F.col("r.parent"), F.lit(2)))
-    value = F.to_json(F.try_variant_get(F.col("_doc"), place, "variant"))
+def _worded(path: Column, kind: Column, arg: Column) -> Column:
+    """Wording of a violation in the row that holds the document."""
+    value = F.to_json(F.try_variant_get(F.col("_doc"), path, "variant"))
     # Numbers keep the spelling of the document.
-    spelled = F.call_function("get_json_object", F.col("doc"), place)
-    shown = F.when(value.startswith('"') | value.startswith("{") | value.startswith("["), value).otherwise(
-        F.coalesce(spelled, value)
-    )
+    spelled = F.call_function("get_json_object", F.col("doc"), path)
+    shown = F.when(value.rlike(r'^["{\[]'), value).otherwise(F.coalesce(spelled, value))
+    return schema_rules.violation_text(kind, shown, arg)
+
+
+def _violations(items: DataFrame, schemas: DataFrame) -> DataFrame:
+    """One row per broken rule, with its wording."""
+    b = _judged(items, schemas).select("item_id", "schema_no", "url", "doc", "_doc", F.explode("_broken").alias("b"))
     worded = b.select(
-        "item_id", "schema_no", F.col("url").alias("schema_url"), place.alias("path"),
-        F.col("r.kind").alias("validator"), F.col("r.depth").alias("depth"), F.col("r.rule_no").alias("rule_no"),
-        schema_rules.violation_text(F.col("r.kind"), shown, F.col("r.arg")).alias("w"),
+        "item_id", "schema_no", F.col("url").alias("schema_url"), F.col("b.path").alias("path"),
+        F.col("b.kind").alias("validator"), (-F.col("b.above")).alias("depth"), F.col("b.rule_no").alias("rule_no"),
+        _worded(F.col("b.path"), F.col("b.kind"), F.col("b.arg")).alias("w"),
     )
     return worded.select(
         "item_id", "schema_no", "schema_url", "path", "validator", "depth", "rule_no", "w.message",
@@ -244,52 +299,58 @@ def schema_issues(items: DataFrame, schemas: DataFrame) -> DataFrame:
 def item_verdicts(items: DataFrame, schemas: DataFrame) -> DataFrame:
     """Per item: valid, invalid or unknown (null), the first issue, the number of issues and a summary.
 
-    Schemas are asked in declared order up to the first missing one; issues found before it count.
+    Schemas are asked in declared order up to the first missing one; issues found before it
+    count. One pass and one exchange: an item's declared schemas meet again under its id,
+    and only its first issue is worded.
     """
-    early = parsed(items).filter(F.col("_issues").isNotNull()).select(
-        "item_id", F.size("_issues").cast("bigint").alias("n_issues"),
-        F.struct(
-            F.col("_source").alias("schema_url"), F.get("_issues", 0)["path"].alias("path"),
-            F.get("_issues", 0)["message"].alias("message"), F.get("_issues", 0)["rejected_value"].alias("rejected_value"),
-            F.lit(None).cast("string").alias("suggested_value"), F.lit(None).cast("string").alias("suggested_repr"),
-        ).alias("first"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    asked = item_schemas(items, schemas)
-    missing = asked.groupBy("item_id").agg(
-        F.min(F.when(F.col("contract").isNull(), F.struct("schema_no", "url"))).alias("gone")
-    )
-    v = _violations(items, schemas).join(missing, "item_id")
-    v = v.filter(F.col("gone").isNull() | (F.col("schema_no") < F.col("gone.schema_no")))
-    order = F.struct("schema_no", (-F.col("depth")).alias("d"), "path", "rule_no")
-    found = v.groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("n_issues"),
-        F.min_by(
-            F.struct("schema_url", "path", "message", "rejected_value", "suggested_value", "suggested_repr"), order
-        ).alias("first"),
+    early = F.col("_issues")
+    asked = F.when(early.isNull(), F.struct(
+        "schema_no", "url", F.col("contract").isNull().alias("gone"),
+        F.size("_broken").alias("n_broken"), F.get("_broken", 0).alias("head"),
+    ))
+    g = _judged(items, schemas).groupBy("item_id").agg(
+        F.any_value("doc").alias("doc"),
+        F.any_value(F.struct(
+            F.size(early).alias("n"), F.col("_source").alias("schema_url"), F.get(early, 0)["path"].alias("path"),
+            F.get(early, 0)["message"].alias("message"), F.get(early, 0)["rejected_value"].alias("rejected_value"),
+        )).alias("early"),
+        # The schemas one document declares: bounded by the document.
+        F.array_sort(F.collect_list(asked)).alias("asked"),
     )
+    missing = F.get(F.filter("asked", lambda a: a["gone"]), 0)
+    g = g.withColumn("_gone", missing)
+    before = F.filter("asked", lambda a: F.col("_gone").isNull() | (a["schema_no"] < F.col("_gone.schema_no")))
+    g = with_once(g, _before=before)
+    n_late = F.aggregate("_before", F.lit(0), lambda t, a: t + F.coalesce(a["n_broken"], F.lit(0)))
+    first = F.get(F.filter("_before", lambda a: a["n_broken"] > 0), 0)
+    g = with_once(g, _n=F.when(F.col("early.n") > 0, F.col("early.n")).otherwise(n_late), _first=first)
+    g = with_once(g, _doc=F.when(F.col("_first").isNotNull(), F.try_parse_json("doc")))
+    head = F.col("_first.head")
+    g = g.withColumn("_w", _worded(head["path"], head["kind"], head["arg"]))
+    late = F.col("early.n") > 0
     # Fixed value: message format.
-    gone_text = F.when(
-        F.col("gone").isNotNull(), F.concat(F.col("gone.url"), F.lit(": LookupError: schema document not available"))
+    error = F.when(
+        F.col("_gone").isNotNull(), F.concat(F.col("_gone.url"), F.lit(": LookupError: schema document not available"))
     )
-    late = missing.join(found, "item_id", "left").select(
-        "item_id", F.coalesce("n_issues", F.lit(0)).alias("n_issues"), "first", gone_text.alias("error")
+    f = g.select(
+        "item_id", F.col("_n").cast("bigint").alias("n_issues"), error.alias("error"),
+        F.when(late, F.col("early.schema_url")).otherwise(F.col("_first.url")).alias("schema_url"),
+        F.when(late, F.col("early.path")).otherwise(head["path"]).alias("path"),
+        F.when(late, F.col("early.message")).otherwise(F.col("_w.message")).alias("message"),
+        F.when(late, F.col("early.rejected_value")).otherwise(F.col("_w.rejected_value")).alias("rejected_value"),
+        F.col("_w.suggested_value").alias("suggested_value"), F.col("_w.suggested_repr").alias("suggested_repr"),
     )
-    both = early.unionByName(late)
     valid = F.when(F.col("n_issues") > 0, F.lit(False)).when(F.col("error").isNotNull(), F.lit(None)).otherwise(F.lit(True))
-    f = F.col("first")
     # Summary formats.
     summary = (
         F.when(valid, F.lit("Local STAC validation passed."))
-        .when(
-            f.isNotNull(),
-            F.concat(F.lit("Local STAC validation failed: "), concise(f["path"], f["message"], f["suggested_repr"])),
-        )
+        .when(F.col("n_issues") > 0, F.concat(
+            F.lit("Local STAC validation failed: "), concise(F.col("path"), F.col("message"), F.col("suggested_repr"))
+        ))
         .otherwise(F.concat(F.lit("Local STAC validation unavailable: "), F.col("error")))
     )
-    return both.select(
-        "item_id", valid.alias("valid"), "n_issues", f["schema_url"].alias("schema_url"), f["path"].alias("path"),
-        f["rejected_value"].alias("rejected_value"), f["suggested_value"].alias("suggested_value"),
+    return f.select(
+        "item_id", valid.alias("valid"), "n_issues", "schema_url", "path", "rejected_value", "suggested_value",
         "error", summary.alias("summary"),
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mapledger import schemas
 from mapledger.functions import states
 from mapledger.functions.ids import item_url, publisher_id
+from mapledger.functions.once import with_once
 from mapledger.functions.text import iso_timestamp, json_kind, member, text_member
 from mapledger.operators.publication import updated
 from mapledger.operators.reports import latest_success
@@ -26,8 +27,7 @@ def judged_responses(responses: DataFrame, retries: int = RETRIES) -> DataFrame:
     retried ones; overload, server errors, transport errors and unreadable bodies are
     retried. Responses condense to one row per item before the shuffle.
     """
-    doc = F.try_parse_json(F.col("body"))
-    r = responses.filter(F.col("attempt_no") <= retries).withColumn("_doc", doc)
+    r = with_once(responses.filter(F.col("attempt_no") <= retries), _doc=F.try_parse_json(F.col("body")))
     d, status = F.col("_doc"), F.col("http_status")
     is_object = F.coalesce(json_kind(d) == "OBJECT", F.lit(False))
     present = is_object & F.coalesce(
@@ -47,9 +47,10 @@ def judged_responses(responses: DataFrame, retries: int = RETRIES) -> DataFrame:
         .otherwise(F.lit("ERROR"))
     )
     # Message texts.
+    judged = F.col("o")
     text = (
-        F.when(outcome == "MISMATCH", F.lit(states.MISMATCH_TEXT))
-        .when(outcome == "ERROR", F.concat(F.lit("Unexpected HTTP status "), status.cast("string")))
+        F.when(judged == "MISMATCH", F.lit(states.MISMATCH_TEXT))
+        .when(judged == "ERROR", F.concat(F.lit("Unexpected HTTP status "), status.cast("string")))
     )
     retried = F.coalesce(
         F.col("error"),
@@ -60,12 +61,14 @@ def judged_responses(responses: DataFrame, retries: int = RETRIES) -> DataFrame:
     )
     ok200 = (status == 200) & is_object
     answer = F.struct(
-        outcome.alias("outcome"), status.alias("http_status"),
+        judged.alias("outcome"), status.alias("http_status"),
         F.when(ok200, text_member(d, "$.id")).alias("response_item_id"),
         F.when(ok200, text_member(d, "$.collection")).alias("response_collection"),
         states.response_hash(F.col("body")).alias("response_hash"), text.alias("error_message"),
     )
-    s = r.select("collection_id", "item_id", "attempt_no", outcome.alias("o"), answer.alias("answer"), retried.alias("retried"))
+    s = with_once(r, o=outcome).select(
+        "collection_id", "item_id", "attempt_no", "o", answer.alias("answer"), retried.alias("retried")
+    )
     final = F.col("o").isNotNull()
     g = s.groupBy("collection_id", "item_id").agg(
         F.min_by("answer", F.when(final, F.col("attempt_no"))).alias("a"),

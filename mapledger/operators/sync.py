@@ -50,12 +50,20 @@ def record_json(fields: Sequence[str], schema, record_id: Column | None = None)
     return F.when(record_id.isNull(), create).otherwise(update)
 
 
+def send_order(table: str) -> Column:
+    """Text that sorts records as their report does: by key, failures newest first."""
+    if table == "Failures":
+        newest = F.translate(F.date_format("started_at", "yyyyMMddHHmmssSSSSSS"), "0123456789", "9876543210")
+        return F.coalesce(newest, F.lit("~"))
+    return F.col(TABLES[table][0][0])
+
+
 def records(changes: DataFrame, table: str) -> DataFrame:
-    """Upsert rows as sheet records: table, kind, key columns, record text and its size."""
-    key, fields = TABLES[table]
+    """Upsert rows as sheet records: table, kind, order, record text and its size."""
+    _, fields = TABLES[table]
     text = record_json(fields, changes.schema, F.col("record_id"))
     return changes.select(
-        F.lit(table).alias("table_name"), "kind", *key, text.alias("record")
+        F.lit(table).alias("table_name"), "kind", send_order(table).alias("order_key"), text.alias("record")
     ).withColumn("n_bytes", F.octet_length("record").cast("bigint"))
 
 

@@ -143,9 +143,7 @@ def sync_batches(
     parts = []
     for table, rows in reports_by_table.items():
         key, _ = sync.TABLES[table]
-        r = sync.records(sync.upserts(rows, snapshots[table], key), table)
-        order = F.to_json(F.struct(*key))
-        parts.append(r.select("table_name", "kind", order.alias("order_key"), "record", "n_bytes"))
+        parts.append(sync.records(sync.upserts(rows, snapshots[table], key), table))
     everything = parts[0].unionByName(parts[1]).unionByName(parts[2])
     batched = batching.payload_batches(
         everything, ["table_name", "kind"], ["order_key", "record"], "n_bytes", max_records, max_bytes

@@ -103,8 +103,8 @@ _JUDGED = """judged as (select collection_id, item_id, attempt_no, http_status,
     from stac_responses),
   firsts as (select *, row_number() over (partition by collection_id, item_id order by case when o is null then 1 else 0 end, case when o is null then -attempt_no else attempt_no end) as rn from judged),
   answers as (select collection_id, item_id, coalesce(o, 'ERROR') as outcome, case when o is not null then http_status end as http_status,
-    case when o is not null and http_status = 200 and json_type(body) = 'OBJECT' then json_extract_string(body, '$.id') end as response_item_id,
-    case when o is not null and http_status = 200 and json_type(body) = 'OBJECT' then json_extract_string(body, '$.collection') end as response_collection,
+    case when o is not null and http_status = 200 and json_valid(body) then case when json_type(body) = 'OBJECT' then json_extract_string(body, '$.id') end end as response_item_id,
+    case when o is not null and http_status = 200 and json_valid(body) then case when json_type(body) = 'OBJECT' then json_extract_string(body, '$.collection') end end as response_collection,
     case when o is not null then sha256(coalesce(body, '')) end as response_hash,
     case when o is null and http_status = 200 then 'JSONDecodeError: response body is not valid JSON' when o is null then 'HTTPError: ' || http_status || ' Server Error'
       when o = 'MISMATCH' then 'STAC response identity or type does not match the request' when o = 'ERROR' then 'Unexpected HTTP status ' || http_status end as error_message
