@@ -162,8 +162,9 @@ union all
 select archive_path, case when o % 4 = 1 then mapfile_checksum else 'different' end
 from (select *, cast(replace(task_id, 'task-', '') as bigint) as o from archive_tasks) t where o % 4 <> 2
 """,
+    # The hint spreads the documents over tasks, as a folder of item files would be; DuckDB reads a comment.
     "stac_items": """
-select o_orderkey, replace(dataset_id, '#', '.v') as item_id, concat(replace(dataset_id, '#', '.v'), case when o_orderkey % 31 = 0 then 'x' else '' end, '.json') as file_name,
+select /*+ REPARTITION(16, o_orderkey) */ o_orderkey, replace(dataset_id, '#', '.v') as item_id, concat(replace(dataset_id, '#', '.v'), case when o_orderkey % 31 = 0 then 'x' else '' end, '.json') as file_name,
   case when o_orderkey % 19 = 0 then '{bad' else concat('{"type":"Feature","stac_version":"1.1.0","id":"', replace(dataset_id, '#', '.v'), '","collection":"', project,
     '","geometry":{"type":"Point","coordinates":[0.0,0.0]}', case when o_orderkey % 41 = 0 then '' else ',"links":[]' end, ',"assets":{}',
     ',"stac_extensions":[', case when o_orderkey % 13 = 0 then '' when o_orderkey % 13 = 1 then '"https://example.test/s1.json","https://example.test/gone.json","https://example.test/p1.json"'
