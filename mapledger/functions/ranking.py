@@ -9,26 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mapledger.session import cut_lineage
 
 
 def with_position(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "position"
+    df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], name: str = "position"
 ) -> DataFrame:
-    """Add the 0-based position of each row in its group, ordered by unique keys.
+    """Add the 0-based position of each row in its group, ordered by unique keys (ascending unless given as columns).
 
     Any single group may hold most of the rows: no task ever sees a whole group.
     The numbered rows are checkpointed, because task boundaries come from a sample.
     """
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = [*groups, *order]
-    ranged = df.repartitionByRange(parts, *[F.col(k).asc_nulls_first() for k in keys]).sortWithinPartitions(
-        *[F.col(k).asc_nulls_first() for k in keys]
-    )
+    keys = [F.col(k).asc_nulls_first() if isinstance(k, str) else k for k in (*groups, *order)]
+    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     # High 31 bits: the task; low 33 bits: the row inside it.
     stamped = cut_lineage(ranged.withColumn("_row", F.monotonically_increasing_id()))
     task = F.shiftright(F.col("_row"), 33)

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from mapledger import schemas
 from mapledger.functions import ids, mapfile
+from mapledger.functions.once import with_once
 from mapledger.functions.text import strip
 
 
-def parsed_lines(lines: DataFrame) -> DataFrame:
-    """Non-blank mapfile lines (mapfile, line_no, line) with their fields."""
-    out = lines.select("mapfile", "line_no", strip(F.col("line")).alias("line")).filter(F.col("line") != "")
-    out = out.withColumn("_f", mapfile.fields(F.col("line")))
+def parsed_lines(lines: DataFrame, keep_blank: bool = False) -> DataFrame:
+    """Mapfile lines (mapfile, line_no, line) with their fields; blank lines only on request."""
+    out = lines.select("mapfile", "line_no", strip(F.col("line")).alias("line"))
+    if not keep_blank:
+        out = out.filter(F.col("line") != "")
+    out = with_once(out, _f=mapfile.fields(F.col("line")))
     well_formed = F.size("_f") >= 3
     f = F.col("_f")
     return out.select(
@@ -35,11 +38,11 @@ def scan_mapfiles(lines: DataFrame, include_files: bool = False) -> DataFrame:
     exchange carries about one row per mapfile. Errors follow file order: whichever
     faulty line comes first names the problem.
     """
-    p = parsed_lines(lines)
+    p = parsed_lines(lines, keep_blank=True)
     bad_size = mapfile.size_error(F.col("size_text")) if include_files else F.lit(None).cast("string")
     per_id = p.groupBy("mapfile", "dataset_id").agg(
         F.min(F.when(F.col("well_formed"), F.col("line_no"))).alias("first_line"),
-        F.min(F.when(~F.col("well_formed"), F.struct("line_no", "line"))).alias("malformed"),
+        F.min(F.when(~F.col("well_formed") & (F.col("line") != ""), F.struct("line_no", "line"))).alias("malformed"),
         F.min(F.when(bad_size.isNotNull(), F.struct("line_no", bad_size.alias("text")))).alias("bad_size"),
         F.count_if("well_formed").alias("n_lines"),
     )

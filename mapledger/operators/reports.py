@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mapledger.functions.ranking import with_position
 from mapledger.functions.states import effective_status
 from mapledger.schemas import CAMPAIGN_RECORD_FIELDS, FAILURE_FIELDS
 
@@ -25,11 +26,10 @@ def latest_attempt(attempts: DataFrame) -> DataFrame:
 
 
 def ranked_attempts(attempts: DataFrame) -> DataFrame:
-    """Every attempt with its rank inside its dataset, newest first."""
-    window = Window.partitionBy("dataset_id").orderBy(
-        F.desc_nulls_last("finished_at"), F.desc_nulls_last("started_at"), F.desc_nulls_last("attempt_id")
-    )
-    return attempts.withColumn("rn", F.row_number().over(window))
+    """Every attempt with its rank inside its dataset, newest first; a dataset may have any number."""
+    newest = [F.desc_nulls_last(c) for c in ("finished_at", "started_at", "attempt_id")]
+    ranked = with_position(attempts, ["dataset_id"], newest)
+    return ranked.select(*attempts.columns, (F.col("position") + F.lit(1)).alias("rn"))
 
 
 def campaign_status(datasets: DataFrame, attempts: DataFrame) -> DataFrame:

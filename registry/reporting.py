@@ -49,7 +49,7 @@ Q["latest_attempt"] = lambda c: reports.latest_attempt(c.publication_attempts)
 SQL["latest_attempt"] = f"with {_LATEST} select dataset_id, attempt_id, last_attempt_status, started_at, finished_at, log_file from latest where rn = 1"
 
 Q["ranked_attempts"] = lambda c: reports.ranked_attempts(c.publication_attempts).select("attempt_id", "dataset_id", "rn")
-SQL["ranked_attempts"] = f"with {_LATEST} select attempt_id, dataset_id, cast(rn as int) as rn from latest"
+SQL["ranked_attempts"] = f"with {_LATEST} select attempt_id, dataset_id, rn from latest"
 
 Q["status_latest_attempt"] = lambda c: reports.campaign_status(c.datasets, c.publication_attempts)
 SQL["status_latest_attempt"] = f"""with {_LATEST}
