@@ -57,7 +57,7 @@ select d.dataset_id, d.o_orderkey, d.mapfile,
   cast(max(l_quantity) * 1000 as bigint) as file_size,
   md5(concat(cast(l_partkey as string), '_', cast(l_linenumber as string))) as checksum,
   cast(max(l_shipdate) as string) as mod_time
-from lineitem join datasets d on d.o_orderkey = l_orderkey
+from (select /*+ REPARTITION(16, l_orderkey) */ l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate from lineitem) l join datasets d on d.o_orderkey = l_orderkey
 group by d.dataset_id, d.o_orderkey, d.mapfile, l_partkey, l_linenumber
 """,
     "mapfile_lines": """

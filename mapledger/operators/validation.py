@@ -17,18 +17,17 @@ def line_problems(lines: DataFrame, inventory: DataFrame) -> DataFrame:
     Line numbers count blank lines and start at 1.
     """
     p = lines.select("mapfile", "line_no", strip(F.col("line")).alias("line")).filter(F.col("line") != "")
-    p = p.withColumn("_f", mapfile.fields(F.col("line")))
+    cells = F.split("line", r"\|", -1)
+    p = p.select("mapfile", "line_no", F.when(F.size(cells) >= 3, strip(F.get(cells, 1))).alias("path"))
+    known = inventory.select("path").distinct().withColumn("_there", F.lit(True))
+    # One pass over the lines: malformed ones have no path and match nothing either.
+    lost = p.join(known, "path", "left").filter(F.col("_there").isNull())
     number = F.concat(F.lit("Line "), F.col("line_no").cast("string"), F.lit(": "))
     # Message formats.
-    malformed = p.filter(F.size("_f") < 3).select(
-        "mapfile", "line_no", F.concat(number, F.lit("malformed mapfile row")).alias("problem")
+    problem = F.when(F.col("path").isNull(), F.concat(number, F.lit("malformed mapfile row"))).otherwise(
+        F.concat(number, F.lit("missing file "), F.col("path"))
     )
-    missing = (
-        p.filter(F.size("_f") >= 3).select("mapfile", "line_no", mapfile.field(F.col("_f"), 1).alias("path"))
-        .join(inventory.select("path"), "path", "left_anti")
-        .select("mapfile", "line_no", F.concat(number, F.lit("missing file "), F.col("path")).alias("problem"))
-    )
-    return malformed.unionByName(missing)
+    return lost.select("mapfile", "line_no", problem.alias("problem"))
 
 
 def mapfile_problems(datasets: DataFrame, mapfiles: DataFrame) -> DataFrame:
