@@ -102,8 +102,8 @@ def diagnostic_counts(diagnostics: DataFrame) -> DataFrame:
 
 def apply_diagnostics(datasets: DataFrame, diagnostics: DataFrame) -> DataFrame:
     """Dataset state after diagnostics: a recognised status counts as a publication result."""
-    final = diagnostics.filter(F.col("publisher_status").isin("SUCCESS", "FAILED")).select(
-        "dataset_id", F.col("publisher_status").alias("status")
+    final = diagnostics.filter(F.col("publisher_status").isin("SUCCESS", "FAILED")).groupBy("dataset_id").agg(
+        F.max_by("publisher_status", F.struct("finished_at", "diagnostic_id")).alias("status")
     )
     return publication.apply_results(datasets, final)
 

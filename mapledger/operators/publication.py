@@ -264,16 +264,17 @@ def final_results(outcomes: DataFrame) -> DataFrame:
 
 def clear_claims(datasets: DataFrame, released: DataFrame) -> DataFrame:
     """Release claims (dataset_id, claim_id); a null claim_id releases whoever holds it."""
-    r = released.select("dataset_id", F.col("claim_id").alias("_holder"), F.lit(True).alias("_released"))
-    j = datasets.join(r.distinct(), "dataset_id", "left").select(*datasets.columns, "_holder", "_released")
-    hit = F.col("_released").isNotNull() & (
-        F.col("_holder").isNull() | (F.col("_holder") == F.col("publication_claim_id"))
-    )
-    hit = F.coalesce(hit, F.lit(False))
+    whoever = released.filter(F.col("claim_id").isNull()).select("dataset_id").distinct().withColumn("_any", F.lit(True))
+    holders = released.filter(F.col("claim_id").isNotNull()).select(
+        "dataset_id", F.col("claim_id").alias("publication_claim_id")
+    ).distinct().withColumn("_held", F.lit(True))
+    j = datasets.join(whoever, "dataset_id", "left").join(holders, ["dataset_id", "publication_claim_id"], "left")
+    j = j.select(*datasets.columns, "_any", "_held")
+    hit = F.col("_any").isNotNull() | F.col("_held").isNotNull()
     return updated(j, {
         "publication_claim_id": F.when(~hit, F.col("publication_claim_id")),
         "publication_claimed_at": F.when(~hit, F.col("publication_claimed_at")),
-    }, drop=("_holder", "_released"))
+    }, drop=("_any", "_held"))
 
 
 def finish_attempts(attempts: DataFrame, finished: DataFrame, now: dt.datetime) -> DataFrame:

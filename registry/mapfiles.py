@@ -258,6 +258,11 @@ def _current(c):
 Q["stale_datasets"] = lambda c: registration.stale_datasets(c.datasets, _current(c))
 SQL["stale_datasets"] = "select dataset_id, campaign from datasets where registration_status = 'ACTIVE' and o_orderkey % 6 = 1"
 
+Q["stale"] = lambda c: c.datasets.filter(F.col("registration_status") == "ACTIVE").select("dataset_id").subtract(
+    _current(c).select("dataset_id"))
+SQL["stale"] = """select dataset_id from datasets where registration_status = 'ACTIVE'
+except select dataset_id from datasets where o_orderkey % 6 <> 1"""
+
 
 def _scans(c):
     n = F.regexp_extract("name", r"(\d+)$", 1).cast("int")

@@ -32,9 +32,9 @@ SQL["sheet_snapshot_scan"] = "select id as record_id, dataset_id, campaign, publ
 
 
 def _sheet_documents(c):
-    """One snapshot document per campaign of the sheet (a saved page of records)."""
+    """Snapshot documents of at most 100 records each, as saved pages of a sheet."""
     body = F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit(', "fields": '), F.to_json(F.struct("dataset_id")), F.lit("}"))
-    rows = c.sheet_datasets.withColumn("page", F.col("id") % 1000)
+    rows = c.sheet_datasets.withColumn("page", F.floor(F.col("id") / 100))
     return rows.groupBy("page").agg(F.concat(F.lit('{"records": ['), F.array_join(F.collect_list(body), ", "), F.lit("]}")).alias("content"))
 
 
@@ -203,8 +203,8 @@ Q["blocking_missing"] = lambda c: restore.blocking_missing(_sheet(c), c.datasets
 SQL["blocking_missing"] = "select dataset_id from sheet_datasets except select dataset_id from datasets except select dataset_id from sheet_datasets where publication_status = 'RETIRED'"
 Q["local_only"] = lambda c: restore.local_only(_sheet(c), c.datasets)
 SQL["local_only"] = "select dataset_id from datasets except select dataset_id from sheet_datasets"
-Q["matched_ids"] = lambda c: restore.matched(_sheet(c), c.datasets)
-SQL["matched_ids"] = "select dataset_id from datasets intersect select dataset_id from sheet_datasets"
+Q["matched"] = lambda c: restore.matched(_sheet(c), c.datasets)
+SQL["matched"] = "select dataset_id from datasets intersect select dataset_id from sheet_datasets"
 
 
 def _messy(c):

@@ -103,6 +103,14 @@ def test_retry_keeps_catalog_columns_and_result_resets_them(spark):
     assert (row.publication_status, row.stac_status, row.publication_claim_id) == ("SUCCESS", "UNCHECKED", None)
 
 
+def test_releasing_claims_never_repeats_a_dataset(spark):
+    d = datasets(spark, *[{"dataset_id": x, "publication_claim_id": "mine"} for x in "abc"], {"dataset_id": "d"})
+    released = spark.createDataFrame(
+        [("a", None), ("a", "mine"), ("a", "other"), ("b", "other"), ("c", "mine"), ("d", None)], "dataset_id string, claim_id string")
+    state = publication.clear_claims(d, released)
+    assert sorted((r.dataset_id, r.publication_claim_id) for r in state.collect()) == [("a", None), ("b", "mine"), ("c", None), ("d", None)]
+
+
 def test_publication_workflow(spark):
     d = datasets(spark, *[{"dataset_id": f"d{i}#1", "mapfile": f"/m/{i}.map"} for i in range(5)])
     none = spark.createDataFrame([], schemas.ATTEMPTS)
