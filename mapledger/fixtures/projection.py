@@ -123,7 +123,7 @@ select project as collection_id, replace(dataset_id, '#', '.v') as item_id, a.at
     when 3 then null when 4 then null when 5 then '{bad' when 6 then '[1]'
     else concat('{"type":"Feature","id":"', replace(dataset_id, '#', '.v'), '","collection":"', project, '"}') end as body,
   cast(null as string) as error
-from datasets cross join (select 0 as attempt_no union all select 1) a
+from (select *, 0 as attempt_no from datasets union all select *, 1 as attempt_no from datasets) a
 """,
     "sheet_datasets": """
 select o_orderkey + 1 as id, dataset_id, campaign,
@@ -152,7 +152,7 @@ select o_orderkey * 2 + r.rep as row_no, case when o_orderkey % 23 = 0 then 'tas
   concat('/archive/', cast(o_orderkey as string), '.map') as archive_path,
   case (o_orderkey + r.rep) % 5 when 0 then 'SUCCESS' when 1 then 'ALREADY_EXISTS' when 2 then 'CONFLICT' when 3 then 'FAILED' else 'WOULD_ARCHIVE' end as status,
   concat('note ', cast(r.rep as string)) as error_message
-from datasets join (select 0 as rep union all select 1) r on r.rep = 0 or o_orderkey % 6 = 0
+from (select *, 0 as rep from datasets union all select *, 1 as rep from datasets where o_orderkey % 6 = 0) r
 where publication_status = 'SUCCESS' and archive_status = 'PENDING'
 """,
     "path_hashes": """
