@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and a lost executor never recomputes them differently."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python workers there can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_mapledger_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="mapledger-ship-")) / "mapledger.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._mapledger_shipped = True
