@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mapledger.llm import quality
+from mapledger.llm import private, quality
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.found(table(spark, sf_dir, "documents"))
+
+
 Q: dict[str, Query] = {
     "op4_quality": op4_quality,
+    "op5_private": op5_private,
 }
 
 SQL: dict[str, str] = {}
