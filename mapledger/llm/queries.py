@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mapledger.llm import private, quality
+from mapledger.llm import minmax, private, quality
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.classes(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -21,6 +25,7 @@ def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q: dict[str, Query] = {
+    "op3_minmax": op3_minmax,
     "op4_quality": op4_quality,
     "op5_private": op5_private,
 }
