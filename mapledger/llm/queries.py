@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mapledger.llm import minmax, private, quality
+from mapledger.llm import minmax, private, quality, rotation_codes
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation_codes.classes(table(spark, sf_dir, "embeddings"))
+
+
 def op3_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.classes(table(spark, sf_dir, "documents"), percent=85)
 
@@ -25,6 +29,7 @@ def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q: dict[str, Query] = {
+    "op1_rotation_codes": op1_rotation_codes,
     "op3_minmax": op3_minmax,
     "op4_quality": op4_quality,
     "op5_private": op5_private,
