@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mapledger.llm import minmax, private, quality, rotation_codes
+from mapledger.llm import cross_polytope, minmax, private, quality, rotation_codes
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +29,16 @@ def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.found(table(spark, sf_dir, "documents"))
 
 
+def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 Q: dict[str, Query] = {
     "op1_rotation_codes": op1_rotation_codes,
     "op3_minmax": op3_minmax,
     "op4_quality": op4_quality,
     "op5_private": op5_private,
+    "op9_cross_polytope": op9_cross_polytope,
 }
 
 SQL: dict[str, str] = {}
