@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapledger.llm import cross_polytope, minmax, private, quality, rotation_codes
+from mapledger.llm import cross_polytope, minmax, private, quality, repeats, rotation_codes
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotation_codes.classes(table(spark, sf_dir, "embeddings"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.classes(table(spark, sf_dir, "documents"), percent=85)
 
@@ -35,6 +39,7 @@ def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q: dict[str, Query] = {
     "op1_rotation_codes": op1_rotation_codes,
+    "op2_repeats": op2_repeats,
     "op3_minmax": op3_minmax,
     "op4_quality": op4_quality,
     "op5_private": op5_private,
