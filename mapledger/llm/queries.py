@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapledger.llm import cross_polytope, minmax, private, quality, repeats, rotation_codes
+from mapledger.llm import cross_polytope, minmax, mixing, private, quality, repeats, rotation_codes
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 Q: dict[str, Query] = {
     "op1_rotation_codes": op1_rotation_codes,
     "op2_repeats": op2_repeats,
@@ -44,6 +48,7 @@ Q: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_private": op5_private,
     "op9_cross_polytope": op9_cross_polytope,
+    "op10_mixing": op10_mixing,
 }
 
 SQL: dict[str, str] = {}
