@@ -7,8 +7,9 @@ classes.
 
 The work stays linear in the rows, whatever the size of a group:
 * documents with the same shingle set collapse to one representative before anything is compared;
-* a band bucket links each member to a leader with a similar signature, not to all others. A bucket beyond
-  `BUCKET` members is linked as a whole without comparing. Both are supersets of the true links;
+* a band bucket links each member to its least one if their signatures are similar, and only buckets where some
+  are not are compared as a whole, each member with leaders. A bucket beyond `BUCKET` members is linked without
+  comparing. The groups so linked hold all true links of documents that share a bucket;
 * the resulting candidate groups are confirmed exactly on full sets in blocks of at most `BLOCK` documents.
   Blocks first unite what they hold; then only the documents that a group's largest class does not hold meet
   the other blocks. Within blocks, inverted lists count the shared shingles, so no pair of documents without
@@ -88,11 +89,15 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_shingles", "digest", "bands", "sketch"])
 
 
+def _least_agreement(percent: int) -> int:
+    """Equal sketch bytes of a pair worth confirming: four standard deviations below the wanted similarity."""
+    wanted = percent / 100
+    return max(1, int(SKETCH * wanted - 4 * (SKETCH * wanted * (1 - wanted)) ** 0.5))
+
+
 def _star_links(percent: int):
     """Links from members of one band bucket to leaders whose sketches are near enough."""
-    # Byte sketches agree by chance once in 256; four standard deviations below the wanted similarity.
-    wanted = percent / 100
-    least = max(1, int(SKETCH * wanted - 4 * (SKETCH * wanted * (1 - wanted)) ** 0.5))
+    least = _least_agreement(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs_of_keys(batches, ["band", "key"]):
@@ -216,6 +221,49 @@ def _in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _near(percent: int):
+    """Whether the sketches of two documents agree well enough."""
+    least = _least_agreement(percent)
+
+    @F.arrow_udf("boolean")
+    def judge(left: pa.Array, right: pa.Array) -> pa.Array:
+        if not len(left):
+            return pa.array([], pa.bool_())
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, SKETCH) for x in (left, right))
+        return pa.array((a == b).sum(axis=1) >= least)
+
+    return judge
+
+
+def _candidates(reps: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of documents that may be linked: a superset of the true classes.
+
+    Every bucket links its members to its least one where their sketches agree. Only buckets with a member that
+    does not agree are looked at as a whole."""
+    keyed = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    busy = (
+        keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub")).where("n > 1")
+    )
+    members = staged(keyed.join(busy.hint("merge"), ["band", "key"]), "members")
+    sketches = reps.select("doc_id", "sketch")
+    pairs = members.where("doc_id > hub and n <= %d" % BUCKET).select("doc_id", "hub").distinct()
+    judged = staged(
+        pairs.join(sketches, "doc_id")
+        .join(sketches.select(F.col("doc_id").alias("hub"), F.col("sketch").alias("_sketch")), "hub")
+        .select("doc_id", "hub", _near(percent)("sketch", "_sketch").alias("near")), "judged")
+    near = judged.where("near").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    # Buckets too large to compare in one task: every member is linked to the least, without looking.
+    large = members.where("n > %d and doc_id > hub" % BUCKET).select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    mixed = members.where("n <= %d" % BUCKET).join(judged.where("not near").select("doc_id", "hub"), ["doc_id", "hub"]).select(
+        "band", "key").distinct()
+    compared = (
+        members.join(mixed, ["band", "key"]).join(sketches, "doc_id").select("band", "key", "doc_id", "sketch")
+        .repartition("band", "key").sortWithinPartitions("band", "key", "doc_id")
+        .mapInArrow(_star_links(percent), "a long, b long")
+    )
+    return connected(near.union(large).union(compared))
+
+
 def classes(documents: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): classes of documents linked at percent / 100 or more."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -225,28 +273,17 @@ def classes(documents: DataFrame, percent: int = 80) -> DataFrame:
     filled = digested.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     # Rows of one set and rows of one id are the same thing to every later step.
     same_set = staged(filled.groupBy("digest").agg(F.min("doc_id").alias("rep")), "representatives")
-    reps = filled.join(
-        same_set.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_digest")), "doc_id"
-    ).where(F.col("digest") == F.col("_digest")).dropDuplicates(["doc_id", "digest"])
-    banded = reps.select("doc_id", "sketch", F.posexplode("bands").alias("band", "key"))
-    keyed = banded.select("band", "key", "doc_id", "sketch")
-    # Buckets too large to compare in one task: every member is linked to the least, without looking.
-    sizes = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub"))
-    busy = staged(sizes.where("n > 1"), "buckets")
-    large = busy.where(F.col("n") > BUCKET).select("band", "key", "hub")
-    hubs = keyed.join(large, ["band", "key"]).where("doc_id > hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    small = (
-        keyed.join(busy.where(F.col("n") <= BUCKET).select("band", "key"), ["band", "key"])
-        .repartition("band", "key").sortWithinPartitions("band", "key", "doc_id")
-        .mapInArrow(_star_links(percent), "a long, b long")
-    )
-    groups = staged(connected(small.union(hubs)).withColumnRenamed("node", "doc_id")
+    reps = staged(
+        filled.join(same_set.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_digest")), "doc_id")
+        .where(F.col("digest") == F.col("_digest")).dropDuplicates(["doc_id", "digest"])
+        .select("doc_id", "bands", "sketch"), "sketches")
+    groups = staged(_candidates(reps, percent).withColumnRenamed("node", "doc_id")
                     .withColumnRenamed("component", "grp"), "groups")
     # Full sets of candidates only. A group is dealt over blocks of about BLOCK documents by a hash of the id.
     counts = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = groups.join(counts, "grp").withColumn(
         "block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
-    held = staged(texts.join(placed, "doc_id").select("grp", "block", "blocks", "doc_id", "text"), "candidates")
+    held = staged(texts.join(placed.hint("merge"), "doc_id").select("grp", "block", "blocks", "doc_id", "text"), "candidates")
     alone = held.withColumn("known", F.col("doc_id")).withColumn("asked", F.lit(True))
     links = staged(_in_blocks(alone, percent), "links")
     split = held.where("blocks > 1").select("grp", "blocks", "block", "doc_id")
