@@ -13,7 +13,7 @@ unit step is safe and few steps are needed. A document's rate follows from its o
 posteriors and the short list of steps taken, so nothing is joined or rewritten between steps.
 
 Defined results: null, empty and blank texts have no tokens and keep rate 1. Null or repeated ids are rows like
-any other. Targets need not add up to 1; a domain that no document belongs to is left out. Without labelled rows
+any other. Targets need not add up to 1; under a bound on rates a domain is never asked for more than it holds. Without labelled rows
 all domains are equally likely. Other columns are never read.
 """
 
@@ -35,6 +35,7 @@ BUCKETS = 1 << 18
 EPOCHS = 6
 STEPS = 24
 PULL = 1e-3
+FLOOR = 3e-3
 
 DOMAINS = ("clean", "toxic", "poor")
 #: Wanted shares of expected tokens by domain.
@@ -136,15 +137,20 @@ def fitted_steps(members: DataFrame, targets: Sequence[float], total: float | No
     part = [F.col("posteriors")[k] for k in kinds]
     first = members.agg(
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("all"),
+        *[F.coalesce(F.sum(part[k] * F.col("tokens")), F.lit(0.0)).alias(f"n{k}") for k in kinds],
         *[F.coalesce(F.sum(part[i] * part[j] * F.col("tokens")), F.lit(0.0)).alias(f"g{i}{j}") for i in kinds for j in kinds]
     ).first()
     if not first["all"]:
         return []
     gram = np.array([[first[f"g{i}{j}"] for j in kinds] for i in kinds])
     wanted = np.array(targets, float) / sum(targets) * float(first["all"] if total is None else total)
+    if most is not None:
+        # What is not there cannot be asked for, but in the leading domain, whose rates it holds at the bound.
+        here = np.array([first[f"n{k}"] for k in kinds])
+        wanted[1:] = np.minimum(wanted[1:], most * here[1:])
     values, axes = np.linalg.eigh(gram)
-    # Directions that no document moves in are left out.
-    inverse = axes @ np.diag([1 / v if v > 1e-9 * values.max() else 0.0 for v in values]) @ axes.T
+    # Domains with next to no tokens must not outweigh the others: their variance counts as FLOOR of the largest.
+    inverse = axes @ np.diag(1 / np.maximum(values, FLOOR * values.max())) @ axes.T
     momentum, history = 1.0, []
     for _ in range(steps):
         sums = with_rates(members, history, most).agg(
@@ -200,7 +206,7 @@ def drawn(documents: DataFrame, labels: DataFrame, targets: Sequence[float] = TA
     model = fit(documents, labelled_domains(labels))
     held = staged(memberships(documents, model, keep=[]), "memberships")
     clean = held.agg(F.coalesce(F.sum(F.col("posteriors")[0] * F.col("tokens")), F.lit(0.0))).first()[0]
-    history = fitted_steps(held, targets, 1.1 * clean * sum(targets) / targets[0], 1.0)
+    history = fitted_steps(held, targets, 1.05 * clean * sum(targets) / targets[0], 1.0)
     own = [F.col(f"`{c}`") for c in documents.columns]
     named = documents.select(F.struct(*own).alias("_own"), "text", "doc_id")
     rated = with_rates(memberships(named, model, keep=["_own", "text", "doc_id"]), history, 1.0)

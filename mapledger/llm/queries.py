@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapledger.llm import cross_polytope, minmax, mixing, private, quality, repeats, rotation_codes
+from mapledger.llm import cross_polytope, minmax, mixing, piece_transducer, private, quality, repeats, rotation_codes
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op5_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.found(table(spark, sf_dir, "documents"))
 
 
+def op6_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_transducer.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -41,14 +45,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 Q: dict[str, Query] = {
     "op1_rotation_codes": op1_rotation_codes,
     "op2_repeats": op2_repeats,
     "op3_minmax": op3_minmax,
     "op4_quality": op4_quality,
     "op5_private": op5_private,
+    "op6_piece_transducer": op6_piece_transducer,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_mixing": op10_mixing,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {}
