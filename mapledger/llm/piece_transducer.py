@@ -26,6 +26,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Words that a task remembers before it forgets all of them.
-CACHE = 1 << 19
+#: Words and borders of which a worker remembers this many newest ones, and up to as many before them.
+CACHE = 1 << 18
 _FALLBACK = 1e6
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -69,6 +70,9 @@ class Transducer:
         self.model = model
         self._apart: dict[tuple[str, str], bool] = {}
         self._words: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
+        #: Neighbours inside some piece; between other characters no piece reaches across.
+        self._inside = {p[i : i + 2] for p in model.scores for i in range(len(p) - 1)}
         #: The lexicon: a node is a dict from character to (piece or None, its weight, next node).
         self.root: dict = {}
         for piece, score in model.scores.items():
@@ -96,7 +100,7 @@ class Transducer:
         """The border machine: these two may stand side by side."""
         known = self._apart.get((left, right))
         if known is None:
-            if len(self._apart) >= 4 * CACHE:
+            if len(self._apart) >= 2 * CACHE:
                 self._apart.clear()
             known = self._apart[left, right] = self._merged(left + right) == [left, right]
         return known
@@ -163,32 +167,39 @@ class Transducer:
         return path
 
     def word(self, word: str) -> tuple[int, ...]:
-        known = self._words.get(word)
+        """Ids of one word, remembered; a word is composed part by part where no piece can reach across."""
+        known = self._words.get(word) or self._older.get(word)
         if known is None:
-            ids: list[int] = []
-            model = self.model
-            for piece in self.path(word):
-                number = model.ids.get(piece)
-                if number is not None:
-                    ids.append(number)
-                elif model.bytes:
-                    ids.extend(model.bytes[b] for b in piece.encode())
-                else:
-                    ids.append(model.unknown)
-            if len(self._words) >= CACHE:
-                self._words.clear()
-            known = self._words[word] = tuple(ids)
+            inside = self._inside
+            cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in inside]
+            if cuts:
+                known = tuple(x for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True) for x in self.word(word[a:b]))
+            else:
+                known = self._spelled(self.path(word))
+        if len(self._words) >= CACHE:
+            self._older, self._words = self._words, {}
+        self._words[word] = known
         return known
 
+    def _spelled(self, pieces: list[str]) -> tuple[int, ...]:
+        ids: list[int] = []
+        model = self.model
+        for piece in pieces:
+            number = model.ids.get(piece)
+            if number is not None:
+                ids.append(number)
+            elif model.bytes:
+                ids.extend(model.bytes[b] for b in piece.encode())
+            else:
+                ids.append(model.unknown)
+        return tuple(ids)
+
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         normal = MARK + text.replace(" ", MARK)
-        ids: list[int] = []
         known, missed = self._words.get, self.word
-        for word in _WORDS.findall(normal):
-            ids += known(word) or missed(word)
-        return ids
+        return list(chain.from_iterable([known(word) or missed(word) for word in _WORDS.findall(normal)]))
 
     def decode(self, ids: list[int]) -> str:
         spelled = self.model.spelled
@@ -216,7 +227,7 @@ def with_ids(documents: DataFrame, model: str | None = None, name: str = "ids",
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         machine = transducer(path)
-        rows = [np.array(machine.encode(t), np.int32) for t in texts.to_pylist()]
+        rows = [np.array(machine.encode(t.as_py()), np.int32) for t in texts]
         offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32)))
 
@@ -230,7 +241,8 @@ def with_text(encoded: DataFrame, model: str | None = None, name: str = "decoded
     @F.arrow_udf("string")
     def decoded(lists: pa.Array) -> pa.Array:
         machine = transducer(path)
-        return pa.array([machine.decode(ids) if ids else "" for ids in lists.to_pylist()], pa.string())
+        offsets, values = np.asarray(lists.offsets), lists.values.to_numpy(zero_copy_only=False)
+        return pa.array([machine.decode(values[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.string())
 
     return encoded.withColumn(name, decoded(ids))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapledger.llm import count_trees, cross_polytope, minmax, mixing, piece_transducer, private, quality, repeats, rotation_codes
+from mapledger.llm import chains, count_trees, cross_polytope, minmax, mixing, piece_transducer, private, quality, repeats, rotation_codes
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_transducer.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.passages(table(spark, sf_dir, "documents"))
+
+
 def op8_count_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_trees.recounted(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ Q: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_private": op5_private,
     "op6_piece_transducer": op6_piece_transducer,
+    "op7_chains": op7_chains,
     "op8_count_trees": op8_count_trees,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_mixing": op10_mixing,
