@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from mapledger.llm.textbytes import column_bytes, mix, slice_hashes, word_spans
 
 #: Labelled documents that a model learns from, at most: those whose hashed ids are least.
-SAMPLE = 4096
+SAMPLE = 3072
 BUCKETS = 1 << 16
 WIDTH = 8
 EPOCHS = 12
@@ -83,7 +83,7 @@ def learn(examples: list[tuple[np.ndarray, np.ndarray, int]], classes: int, seed
             buckets, counts, truth = examples[i]
             rate = RATE * (1 - done / steps)
             done += 1
-            share = (counts / max(counts.sum(), 1)).astype(np.float32)
+            share = (counts / max(counts.sum(dtype=np.int64), 1)).astype(np.float32)
             rows = vectors[buckets]
             hidden = share @ rows
             logits = hidden @ layer + bias
@@ -103,7 +103,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for data, label in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             buckets, counts = np.unique(features(data), return_counts=True)
-            rows.append((label, buckets.astype(np.int32).tobytes(), counts.astype(np.int32).tobytes()))
+            rows.append((label, buckets.astype(np.int32).tobytes(), np.minimum(counts, 65535).astype(np.uint16).tobytes()))
         names = ("label", "buckets", "counts")
         kinds = (pa.int32(), pa.binary(), pa.binary())
         columns = zip(*rows, strict=True) if rows else [(), (), ()]
@@ -124,7 +124,7 @@ def fit(documents: DataFrame, labelled: DataFrame, classes: int = 2, sample: int
     )
     rows.sort(key=lambda r: (r.label, bytes(r.buckets), bytes(r.counts)))
     return learn(
-        [(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.counts, np.int32), r.label) for r in rows], classes)
+        [(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.counts, np.uint16), r.label) for r in rows], classes)
 
 
 def with_posteriors(documents: DataFrame, model: Model, name: str = "posteriors") -> DataFrame:
