@@ -37,6 +37,7 @@ MARK = "▁"
 #: Words and borders of which a worker remembers this many newest ones, and up to as many before them.
 CACHE = 1 << 18
 _FALLBACK = 1e6
+_AHEAD = 8
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -71,6 +72,7 @@ class Transducer:
         self._apart: dict[tuple[str, str], bool] = {}
         self._words: dict[str, tuple[int, ...]] = {}
         self._older: dict[str, tuple[int, ...]] = {}
+        self._read: dict[str, tuple] = {}
         #: Neighbours inside some piece; between other characters no piece reaches across.
         self._inside = {p[i : i + 2] for p in model.scores for i in range(len(p) - 1)}
         #: The lexicon: a node is a dict from character to (piece or None, its weight, next node).
@@ -105,8 +107,14 @@ class Transducer:
             known = self._apart[left, right] = self._merged(left + right) == [left, right]
         return known
 
-    def _arcs(self, word: str, at: int) -> list[tuple[str, float]]:
-        """Pieces that the lexicon reads from a position, shortest first; a character without one falls back."""
+    def _arcs(self, word: str, at: int) -> tuple[tuple[str, float], ...]:
+        """Pieces that the lexicon reads from a position, longest first; a character without one falls back.
+
+        Most readings end within a few characters, and are remembered by those."""
+        ahead = word[at : at + _AHEAD]
+        known = self._read.get(ahead)
+        if known is not None:
+            return known
         node, end, arcs = self.root, at, []
         while end < len(word) and (step := node.get(word[end])) is not None:
             end += 1
@@ -115,7 +123,12 @@ class Transducer:
             node = step[2]
         if not arcs or len(arcs[0][0]) != 1:
             arcs.insert(0, (word[at], _FALLBACK))
-        return arcs
+        found = tuple(reversed(arcs))
+        if end - at < _AHEAD:
+            if len(self._read) >= CACHE:
+                self._read.clear()
+            self._read[ahead] = found
+        return found
 
     def path(self, word: str) -> list[str]:
         """The shortest path of the composition with one word: pieces, and characters left to byte fallback."""
@@ -139,41 +152,43 @@ class Transducer:
         """With the border machine a position has one state at most (what merging makes of the text before it),
         and one path ends. Depth first, longest arc first; a position left in vain is never entered again."""
         passes, judge, arcs = self._apart, self._passes, self._arcs
-        path, at, size = [], 0, len(word)
-        todo = [arcs(word, 0)]
-        dead = set()
+        path, at, size, last = [], 0, len(word), ""
+        todo, dead = [iter(arcs(word, 0))], set()
         while at < size:
-            open_ = todo[-1]
-            while open_:
-                piece = open_.pop()[0]
-                if at + len(piece) in dead:
+            for piece, _ in todo[-1]:
+                end = at + len(piece)
+                if end in dead:
                     continue
-                if path:
-                    pair = (path[-1], piece)
-                    ok = passes.get(pair)
+                if last:
+                    ok = passes.get((last, piece))
                     if ok is None:
-                        ok = judge(*pair)
+                        ok = judge(last, piece)
                     if not ok:
                         continue
                 path.append(piece)
-                at += len(piece)
+                at, last = end, piece
                 if at < size:
-                    todo.append(arcs(word, at))
+                    todo.append(iter(arcs(word, at)))
                 break
             else:
                 dead.add(at)
                 todo.pop()
                 at -= len(path.pop())
+                last = path[-1] if path else ""
         return path
 
     def word(self, word: str) -> tuple[int, ...]:
         """Ids of one word, remembered; a word is composed part by part where no piece can reach across."""
         known = self._words.get(word) or self._older.get(word)
         if known is None:
-            inside = self._inside
-            cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in inside]
-            if cuts:
-                known = tuple(x for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True) for x in self.word(word[a:b]))
+            inside, parts, start = self._inside, [], 0
+            for i in range(1, len(word)):
+                if word[i - 1 : i + 1] not in inside:
+                    parts.append(word[start:i])
+                    start = i
+            if parts:
+                parts.append(word[start:])
+                known = tuple(chain.from_iterable([self._words.get(p) or self.word(p) for p in parts]))
             else:
                 known = self._spelled(self.path(word))
         if len(self._words) >= CACHE:
@@ -183,9 +198,9 @@ class Transducer:
 
     def _spelled(self, pieces: list[str]) -> tuple[int, ...]:
         ids: list[int] = []
-        model = self.model
+        model, known = self.model, self.model.ids.get
         for piece in pieces:
-            number = model.ids.get(piece)
+            number = known(piece)
             if number is not None:
                 ids.append(number)
             elif model.bytes:
@@ -247,28 +262,39 @@ def with_text(encoded: DataFrame, model: str | None = None, name: str = "decoded
     return encoded.withColumn(name, decoded(ids))
 
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column(1)
-        offsets, values = np.asarray(lists.offsets), lists.values.to_numpy(zero_copy_only=False).astype("<i4")
-        digests = [hashlib.sha256(values[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(digests, pa.string()), batch.column(2)],
-            names=["doc_id", "n_pieces", "ids_sha256", "same"])
+def _both_ways(path: str, digest: bool):
+    """Ids of each text and whether they spell it again, encoded once; with `digest` a digest stands for the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(path)
+        for batch in batches:
+            found, same = [], []
+            for text in batch.column(1):
+                text = text.as_py() or ""
+                ids = machine.encode(text)
+                same.append(machine.decode(ids) == text.replace(MARK, " "))
+                found.append(np.array(ids, "<i4"))
+            sizes = np.array([len(r) for r in found], np.int64)
+            if digest:
+                listed = pa.array([hashlib.sha256(r.tobytes()).hexdigest() for r in found], pa.string())
+            else:
+                offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+                listed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, "<i4"), *found])))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes), listed, pa.array(same, pa.bool_())],
+                names=["doc_id", "n_pieces", "ids_sha256" if digest else "ids", "same"])
+
+    return run
 
 
 def round_trip(documents: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, n_pieces, ids_sha256, same): the digest is over the ids as little-endian 32-bit numbers, and `same`
     says that decoding gives back the text."""
-    whole = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    both = with_text(with_ids(whole, model), model)
-    return both.select("doc_id", "ids", (F.col("decoded") == F.translate("text", MARK, " ")).alias("same")).mapInArrow(
-        _digested, "doc_id long, n_pieces long, ids_sha256 string, same boolean")
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        _both_ways(model or default_model(), True), "doc_id long, n_pieces long, ids_sha256 string, same boolean")
 
 
 def encoded_documents(documents: DataFrame, model: str | None = None) -> DataFrame:
-    """(doc_id, ids, n_pieces, same): the ids of every document, and whether they decode to its text."""
-    whole = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return with_text(with_ids(whole, model), model).select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
-        (F.col("decoded") == F.translate("text", MARK, " ")).alias("same"))
+    """(doc_id, n_pieces, ids, same): the ids of every document, and whether they decode to its text."""
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        _both_ways(model or default_model(), False), "doc_id long, n_pieces long, ids array<int>, same boolean")
