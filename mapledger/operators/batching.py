@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -80,8 +80,10 @@ def payload_batches(
     if max_bytes <= 0:
         raise ValueError("max_payload_bytes must be greater than zero")
     chunk_rows = max(CHUNK_ROWS, max_records)
-    keys = list(groups)
-    numbered = with_position(records, groups, order)
+    # One text stands for the group, nulls included, so that no join below loses a group with a null key.
+    keys = ["_group"]
+    grouped = records.withColumn("_group", F.to_json(F.struct(*groups)) if groups else F.lit(""))
+    numbered = with_position(grouped, keys, order)
     slim = numbered.select(
         *keys, F.col("position"), F.col(size_col).cast("bigint").alias("_size"),
         F.floor(F.col("position") / F.lit(chunk_rows)).cast("bigint").alias("_chunk"),
@@ -90,7 +92,7 @@ def payload_batches(
     # The first records of a chunk also complete the batches of the chunk before it.
     ahead = slim.filter((offset < max_records) & (F.col("_chunk") > 0)).withColumn("_chunk", F.col("_chunk") - F.lit(1))
     work = slim.withColumn("_own", F.lit(True)).unionByName(ahead.withColumn("_own", F.lit(False)))
-    key_schema = ", ".join(f"`{k}` {dict(records.dtypes)[k]}" for k in keys)
+    key_schema = "`_group` string"
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("position", kind="stable")
@@ -162,16 +164,3 @@ def request_bodies(batches: DataFrame, groups: Sequence[str], record_col: str) -
         F.count(F.lit(1)).alias("n_records"),
         F.concat(F.lit('{"records": ['), F.array_join(ordered, ", "), F.lit("]}")).alias("body"),
     ).withColumn("n_bytes", F.octet_length("body").cast("bigint"))
-
-
-def greedy_reference(sizes: Iterator[int], max_records: int, max_bytes: int) -> list[int]:
-    """The plain sequential rule, for checking small inputs against the distributed form."""
-    out, batch, used, count = [], 0, 0, 0
-    for size in sizes:
-        fits = count < max_records and used + SEPARATOR_BYTES + size <= max_bytes
-        if count and fits:
-            used, count = used + SEPARATOR_BYTES + size, count + 1
-        else:
-            batch, used, count = batch + 1, ENVELOPE_BYTES + size, 1
-        out.append(batch)
-    return out

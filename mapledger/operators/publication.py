@@ -165,9 +165,14 @@ def batch_outcomes(
     batch_no, line_no, line.
 
     Adds attempt_status, exit_code, error_message, new_status (null: dataset state stays),
-    clears_claim and counted (whether the member counts as a result of the run).
+    clears_claim and counted (whether the member counts as a result of the run). A batch
+    whose members were all refused never ran: it has no row in ``runs`` and no log, and its
+    members fail all the same. Members of any other batch without a run are unreached.
+    ``batch_no`` is a number or, with retry batches, a text such as ``1-retry-1``.
     """
     scope = ["run_id", "batch_no"]
+    if "string" in {dict(df.dtypes)["batch_no"] for df in (members, runs, log)}:
+        members, runs, log = (df.withColumn("batch_no", F.col("batch_no").cast("string")) for df in (members, runs, log))
     m = staged_members(members, scope)
     staged = m.filter(F.col("stage_error").isNull())
     found = last_statuses(resolve_statuses(log, staged, scope), scope).withColumnRenamed("status", "reported")
@@ -178,12 +183,13 @@ def batch_outcomes(
         F.count("stage_error").alias("n_refused"),
         F.min(F.when(F.col("stage_error").isNull(), F.col("pos"))).alias("first_pos"),
     )
-    facts = runs.join(totals, scope).join(error_texts(log, scope), scope, "left")
+    ran = runs.withColumn("_ran", F.lit(True))
+    facts = totals.join(ran, scope, "left").join(error_texts(log, scope), scope, "left")
     j = m.join(facts, scope)
     refused = F.col("stage_error").isNotNull()
     broken = F.col("batch_error").isNotNull()
     reported = F.col("reported").isNotNull()
-    silent = (F.col("n_reported") == 0) & (F.col("n_refused") == 0) & F.lit(record_missing)
+    silent = (F.col("n_reported") == 0) & (F.col("n_refused") == 0) & F.col("_ran").isNotNull() & F.lit(record_missing)
     deferred = silent & (F.col("pos") == F.col("first_pos"))
     status = (
         F.when(refused | broken, F.lit("FAILED"))
@@ -255,10 +261,17 @@ def apply_results(datasets: DataFrame, results: DataFrame) -> DataFrame:
     }, drop=("_status",))
 
 
+def batch_rank(batch_no: Column) -> Column:
+    """An ordering of batch numbers and of retry batches behind their batch (``2`` < ``10`` < ``10-retry-1``)."""
+    numbers = F.regexp_extract_all(batch_no.cast("string"), F.lit("[0-9]+"), F.lit(0))
+    return F.transform(numbers, lambda n: n.cast("bigint"))
+
+
 def final_results(outcomes: DataFrame) -> DataFrame:
     """The result that decides each dataset: that of its last run and batch."""
+    order = F.struct("run_id", batch_rank(F.col("batch_no")).alias("rank"), "pos")
     return outcomes.filter(F.col("new_status").isNotNull()).groupBy("dataset_id").agg(
-        F.max_by("new_status", F.struct("run_id", "batch_no", "pos")).alias("status")
+        F.max_by("new_status", order).alias("status")
     )
 
 
@@ -288,10 +301,15 @@ def finish_attempts(attempts: DataFrame, finished: DataFrame, now: dt.datetime)
     return updated(j, changes, drop=("_new",))
 
 
+def attempt_id() -> Column:
+    """The id of a dataset's attempt in one run: the same wherever and whenever it is derived."""
+    return F.sha2(F.concat_ws("\u0001", F.lit("attempt"), F.col("run_id"), F.col("dataset_id")), 256)
+
+
 def new_attempts(members: DataFrame, now: dt.datetime, id_expr: Column | None = None) -> DataFrame:
     """Running attempts for staged members."""
     return members.select(
-        (F.expr("uuid()") if id_expr is None else id_expr).alias("attempt_id"),
+        (attempt_id() if id_expr is None else id_expr).alias("attempt_id"),
         "dataset_id", "run_id", _ts(now).alias("started_at"),
         F.lit(None).cast("timestamp_ntz").alias("finished_at"), F.lit("RUNNING").alias("status"),
         F.lit(None).cast("int").alias("exit_code"), F.lit(None).cast("string").alias("log_file"),
@@ -299,10 +317,18 @@ def new_attempts(members: DataFrame, now: dt.datetime, id_expr: Column | None =
     )
 
 
+def last_outcomes(outcomes: DataFrame) -> DataFrame:
+    """The outcome that ends each dataset's attempt in a run: that of its last batch."""
+    order = F.struct(batch_rank(F.col("batch_no")).alias("rank"), "pos")
+    kept = [c for c in outcomes.columns if c not in ("run_id", "dataset_id")]
+    return outcomes.groupBy("run_id", "dataset_id").agg(F.max_by(F.struct(*kept), order).alias("_last")).select(
+        "run_id", "dataset_id", "_last.*").select(*outcomes.columns)
+
+
 def attempts_of_outcomes(outcomes: DataFrame, now: dt.datetime, id_expr: Column | None = None) -> DataFrame:
     """Closed attempts as history rows, one per outcome."""
     return outcomes.select(
-        (F.expr("uuid()") if id_expr is None else id_expr).alias("attempt_id"),
+        (attempt_id() if id_expr is None else id_expr).alias("attempt_id"),
         "dataset_id", "run_id", _ts(now).alias("started_at"), _ts(now).alias("finished_at"),
         F.col("attempt_status").alias("status"), "exit_code", "log_file", "error_message",
     )

@@ -208,20 +208,56 @@ def retire(
     return d.select(*[changes.get(f.name, F.col(f.name)).alias(f.name) for f in schemas.DATASETS.fields])
 
 
-def scan_totals(changes: DataFrame) -> DataFrame:
-    """Per campaign: scanned and failed mapfiles, from registration changes."""
-    return changes.groupBy("campaign").agg(
+def scan_totals(changes: DataFrame, campaigns: DataFrame | None = None) -> DataFrame:
+    """Per campaign: scanned and failed mapfiles, from registration changes.
+
+    ``campaigns`` (column campaign) names what was scanned, so that a campaign whose scan
+    found nothing has a row too. A failed mapfile of no known campaign may belong to any:
+    it counts as a failure of each.
+    """
+    found = changes.groupBy("campaign").agg(
         F.count(F.lit(1)).alias("scanned"), F.count_if(F.col("error").isNotNull()).alias("failed")
     )
+    if campaigns is not None:
+        named = campaigns.select("campaign").filter(F.col("campaign").isNotNull()).distinct()
+        found = found.join(named, "campaign", "full_outer")
+    # One row per campaign is left here, so the window is small.
+    homeless = F.sum(F.when(F.col("campaign").isNull(), F.col("failed"))).over(Window.partitionBy(F.lit(0)))
+    return found.select(
+        "campaign", F.coalesce("scanned", F.lit(0)).cast("bigint").alias("scanned"),
+        (F.coalesce("failed", F.lit(0)) + F.when(F.col("campaign").isNull(), F.lit(0)).otherwise(F.coalesce(homeless, F.lit(0))))
+        .cast("bigint").alias("failed"),
+    )
+
+
+def last_mapfiles(changes: DataFrame) -> DataFrame:
+    """Of several mapfiles of one dataset the last, in the order that state changes apply."""
+    return changes.groupBy("dataset_id").agg(F.max("mapfile").alias("mapfile")).select("mapfile")
+
+
+def repeated_paths(lines: DataFrame) -> DataFrame:
+    """(mapfile, repeat_error) of mapfiles that list a file more than once."""
+    p = parsed_lines(lines).filter("well_formed")
+    twice = p.groupBy("mapfile", "file_path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return twice.groupBy("mapfile").agg(F.min("file_path").alias("_path")).select(
+        "mapfile", F.concat(F.lit("File listed more than once in "), F.col("mapfile"), F.lit(": "), F.col("_path")).alias("repeat_error")
+    )
 
 
-def registration_summary(datasets: DataFrame, changes: DataFrame) -> DataFrame:
+def registration_summary(
+    datasets: DataFrame, changes: DataFrame, campaigns: DataFrame | None = None, allow_empty: bool = False
+) -> DataFrame:
     """Per campaign: succeeded and failed mapfiles, current ids, and datasets to retire."""
     good = changes.filter(F.col("error").isNull())
     totals = changes.groupBy("campaign").agg(
         F.count_if(F.col("error").isNull()).alias("succeeded"),
         F.count_if(F.col("error").isNotNull()).alias("failed"),
     )
+    if campaigns is not None:
+        blocked = scan_totals(changes, campaigns).select("campaign", F.col("failed").alias("_blocked"))
+        totals = blocked.join(totals, "campaign", "left").na.fill(0, ["succeeded", "failed"])
+        if allow_empty:
+            return _summary_of_all(datasets, good, totals)
     ids_now = good.select("campaign", "dataset_id").distinct()
     current = ids_now.groupBy("campaign").agg(F.count(F.lit(1)).alias("current"))
     stale = stale_datasets(datasets, ids_now).groupBy("campaign").agg(F.count(F.lit(1)).alias("stale"))
@@ -232,6 +268,19 @@ def registration_summary(datasets: DataFrame, changes: DataFrame) -> DataFrame:
     )
 
 
+def _summary_of_all(datasets: DataFrame, good: DataFrame, totals: DataFrame) -> DataFrame:
+    """The summary where an empty scan retires all of a campaign."""
+    ids_now = good.select("campaign", "dataset_id").distinct()
+    current = ids_now.groupBy("campaign").agg(F.count(F.lit(1)).alias("current"))
+    active = datasets.filter(F.col("registration_status") == "ACTIVE").select("campaign", "dataset_id")
+    stale = active.join(ids_now, ["campaign", "dataset_id"], "left_anti").groupBy("campaign").agg(F.count(F.lit(1)).alias("stale"))
+    j = totals.join(current, "campaign", "left").join(stale, "campaign", "left").na.fill(0, ["current", "stale"])
+    return j.select(
+        "campaign", "succeeded", "failed", "current",
+        F.when(F.col("_blocked") == 0, F.col("stale")).otherwise(F.lit(0)).alias("retired"),
+    )
+
+
 def replace_campaigns(campaigns: DataFrame, loaded: DataFrame) -> DataFrame:
     """Insert or replace campaigns by name."""
     names = [f.name for f in schemas.CAMPAIGNS.fields]

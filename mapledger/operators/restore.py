@@ -125,14 +125,15 @@ def new_attempts(failures: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def restore_state(datasets: DataFrame, snapshot: DataFrame, now: dt.datetime) -> DataFrame:
-    """Dataset state after a restore; ids unknown here are skipped."""
+    """Dataset state after a restore; ids unknown here are skipped. An id must not repeat in the snapshot (see
+    ``problems``); if it does, rows do not multiply and retirement wins."""
     s = snapshot.select(
         normalize_id(F.col("dataset_id")).alias("dataset_id"),
         F.struct(
-            F.nullif("publication_status", F.lit("")).alias("status"),
             (F.upper(F.coalesce("publication_status", F.lit(""))) == "RETIRED").alias("retired"),
+            F.nullif("publication_status", F.lit("")).alias("status"),
         ).alias("_s"),
-    )
+    ).groupBy("dataset_id").agg(F.max("_s").alias("_s"))
     j = datasets.join(s, "dataset_id", "left").select(*datasets.columns, "_s")
     hit = F.col("_s").isNotNull()
     gone, back = hit & F.col("_s.retired"), hit & ~F.col("_s.retired")
@@ -142,3 +143,18 @@ def restore_state(datasets: DataFrame, snapshot: DataFrame, now: dt.datetime) ->
         .when(~hit, F.col("retired_at")),
         "publication_status": F.when(back, F.col("_s.status")).otherwise(F.col("publication_status")),
     }, drop=("_s",))
+
+
+def problems(snapshot: DataFrame, failures: DataFrame, datasets: DataFrame) -> DataFrame:
+    """(reason, dataset_id): what refuses a restore. Reasons are blank, repeated and missing."""
+    blank = snapshot.filter(normalize_id(F.col("dataset_id")) == "")
+    found = blank.select(F.lit("blank").alias("reason"), F.lit(None).cast("string").alias("dataset_id"))
+    found = found.unionByName(duplicate_ids(snapshot).select(F.lit("repeated").alias("reason"), "dataset_id"))
+    blocked = coverage(snapshot, failures, datasets).filter("blocks AND dataset_id <> ''")
+    return found.unionByName(blocked.select(F.lit("missing").alias("reason"), "dataset_id"))
+
+
+def unless(rows: DataFrame, problems: DataFrame) -> DataFrame:
+    """The rows, or none of them where there is any problem; the other side is one row at most."""
+    gate = problems.limit(1).select(F.lit(0).alias("_gate"))
+    return rows.withColumn("_gate", F.lit(0)).join(F.broadcast(gate), "_gate", "left_anti").drop("_gate")

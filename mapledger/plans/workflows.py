@@ -1,5 +1,7 @@
-"""The catalog's workflows as compositions of operators. Nothing here runs a job;
-each function returns the frames a caller writes."""
+"""The catalog's workflows as compositions of operators.
+
+Each function returns the frames a caller writes. What several of them share is written once to the
+shared checkpoint folder while the plan is built (`cut_lineage`); nothing else runs here."""
 
 from __future__ import annotations
 
@@ -13,6 +15,7 @@ from mapledger.functions import ids
 from mapledger.operators import (
     archive, batching, publication, reconcile, registration, reports, restore, selections, sync,
 )
+from mapledger.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -26,20 +29,31 @@ class Registration:
 def register(
     datasets: DataFrame, files: DataFrame, lines: DataFrame, fingerprints: DataFrame, campaign_roots: DataFrame,
     names: ids.Names, now: dt.datetime, include_files: bool = False, allow_empty: bool = False,
+    scanned: DataFrame | None = None,
 ) -> Registration:
-    """Mapfile lines to new dataset and file state."""
+    """Mapfile lines to new dataset and file state.
+
+    ``scanned`` (column campaign) names the campaigns that were scanned, empty scans included.
+    The changes are written to the shared checkpoint folder once, and everything else reads them there."""
     scan = registration.scan_mapfiles(lines, include_files)
     changes = registration.registration_changes(scan, fingerprints, campaign_roots, names)
+    if include_files:
+        changes = changes.join(registration.repeated_paths(lines), "mapfile", "left").select(
+            *[F.coalesce("error", "repeat_error").alias(c) if c == "error" else F.col(c) for c in changes.columns]
+        )
+    changes = cut_lineage(changes)
     good = changes.filter(F.col("error").isNull()).drop("error")
     state = registration.register_upsert(datasets, good, now)
     state = registration.retire(
-        state, good.select("campaign", "dataset_id"), registration.scan_totals(changes), now, allow_empty
+        state, good.select("campaign", "dataset_id"), registration.scan_totals(changes, scanned), now, allow_empty
     )
     new_files = files
     if include_files:
-        new_files = registration.replace_files(files, registration.file_rows(lines, good.select("mapfile")))
+        new_files = registration.replace_files(files, registration.file_rows(lines, registration.last_mapfiles(good)))
     rejected = changes.filter(F.col("error").isNotNull()).select("mapfile", "campaign", "error")
-    return Registration(state, new_files, rejected, registration.registration_summary(datasets, changes))
+    return Registration(
+        state, new_files, rejected, registration.registration_summary(datasets, changes, scanned, allow_empty)
+    )
 
 
 @dataclass(frozen=True)
@@ -53,11 +67,13 @@ def plan_publication(
     datasets: DataFrame, attempts: DataFrame, run_id: str, now: dt.datetime, campaign: str | None = None,
     limit: int | None = None, batch_size: int = 50, claim_timeout_seconds: int = 3600,
 ) -> PublicationPlan:
-    """Release stale claims, claim pending datasets and number their batches."""
+    """Release stale claims, claim pending datasets, open an attempt for each and number their batches."""
     history = publication.abandon_attempts(attempts, datasets, now, claim_timeout_seconds, campaign)
     state = publication.claim(datasets, run_id, now, campaign, limit, timeout_seconds=claim_timeout_seconds)
+    state = cut_lineage(state)
     mine = state.filter(F.col("publication_claim_id") == run_id).select("campaign", "dataset_id", "mapfile")
-    return PublicationPlan(state, history, batching.batch_plan(mine, batch_size))
+    started = publication.new_attempts(mine.withColumn("run_id", F.lit(run_id)), now)
+    return PublicationPlan(state, history.unionByName(started), batching.batch_plan(mine, batch_size))
 
 
 @dataclass(frozen=True)
@@ -70,16 +86,22 @@ class PublicationResult:
 
 def finish_publication(
     datasets: DataFrame, members: DataFrame, runs: DataFrame, log: DataFrame, now: dt.datetime,
-    record_missing: bool = True, timeout_seconds: int = 600,
+    record_missing: bool = True, timeout_seconds: int = 600, attempts: DataFrame | None = None,
 ) -> PublicationResult:
-    """Publisher output to outcomes, dataset state and history."""
-    outcomes = publication.batch_outcomes(members, runs, log, record_missing, timeout_seconds)
+    """Publisher output to outcomes, dataset state and history.
+
+    With ``attempts`` the running attempts that the plan opened are closed by id, and only outcomes
+    without one (unplanned members) come as new rows; without it every outcome is a new closed row."""
+    outcomes = cut_lineage(publication.batch_outcomes(members, runs, log, record_missing, timeout_seconds))
     state = publication.apply_results(datasets, publication.final_results(outcomes))
     deferred = outcomes.filter(F.col("clears_claim") & F.col("new_status").isNull())
     state = publication.clear_claims(state, deferred.select("dataset_id", F.col("run_id").alias("claim_id")))
-    return PublicationResult(
-        state, publication.attempts_of_outcomes(outcomes, now), outcomes, publication.run_summary(outcomes)
-    )
+    closed = publication.attempts_of_outcomes(publication.last_outcomes(outcomes), now)
+    history = closed
+    if attempts is not None:
+        finished = publication.finish_attempts(attempts, closed, now)
+        history = finished.unionByName(closed.join(attempts.select("attempt_id"), "attempt_id", "left_anti").select(*attempts.columns))
+    return PublicationResult(state, history, outcomes, publication.run_summary(outcomes))
 
 
 @dataclass(frozen=True)
@@ -153,6 +175,7 @@ def sync_batches(
 
 @dataclass(frozen=True)
 class Restore:
+    problems: DataFrame
     coverage: DataFrame
     datasets: DataFrame
     new_attempts: DataFrame
@@ -161,9 +184,12 @@ class Restore:
 def restore_catalog(
     datasets: DataFrame, attempts: DataFrame, snapshot: DataFrame, failures: DataFrame, now: dt.datetime
 ) -> Restore:
-    """New state after a restore; a caller writes it only when no coverage row blocks."""
+    """New state after a restore. Any problem (a blank, repeated or unknown id) refuses the whole restore:
+    the state then stays as it is and no attempt is new."""
+    problems = cut_lineage(restore.problems(snapshot, failures, datasets))
     return Restore(
+        problems,
         restore.coverage(snapshot, failures, datasets),
-        restore.restore_state(datasets, snapshot, now),
-        restore.new_attempts(failures, attempts),
+        restore.restore_state(datasets, restore.unless(snapshot, problems), now),
+        restore.new_attempts(restore.unless(failures, problems), attempts),
     )

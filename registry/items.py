@@ -122,9 +122,9 @@ SQL["first_conclusive_response"] = f"with {_JUDGED} select * from answers"
 
 Q["catalog_lookup"] = lambda c: c.datasets.select(
     "dataset_id", F.col("project").alias("collection_id"), F.replace("dataset_id", F.lit("#"), F.lit(".v")).alias("item_id")).join(
-    reconcile.judged_responses(c.stac_responses.filter(~F.col("item_id").contains(".exp5."))), ["collection_id", "item_id"], "left").select("dataset_id", "outcome", "http_status")
+    reconcile.judged_responses(c.stac_responses), ["collection_id", "item_id"], "left").select("dataset_id", "outcome", "http_status")
 SQL["catalog_lookup"] = f"""with {_JUDGED} select d.dataset_id, a.outcome, a.http_status from datasets d left join answers a
-on a.collection_id = d.project and a.item_id = replace(d.dataset_id, '#', '.v') and a.item_id not like '%.exp5.%'"""
+on a.collection_id = d.project and a.item_id = replace(d.dataset_id, '#', '.v')"""
 
 Q["reconcile_inputs"] = lambda c: selections.reconcile_scope(c.datasets).join(
     reconcile.latest_success(c.publication_attempts), "dataset_id", "left")

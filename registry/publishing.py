@@ -262,7 +262,8 @@ SQL["closest_choice"] = "select dataset_id, case o_orderkey % 3 when 0 then 'pub
 
 
 def _diagnosed(c):
-    last = c.publisher_log.groupBy("dataset_id").agg(F.max_by("line", "line_no").alias("line"), F.max("run_id").alias("run_id"))
+    told = c.publisher_log.filter(F.col("line").contains(logs.STATUS_MARK))
+    last = told.groupBy("dataset_id").agg(F.max_by("line", "line_no").alias("line"), F.max("run_id").alias("run_id"))
     status = logs.status_matches(F.col("line"))
     statuses = last.withColumn("_m", F.try_element_at(status, F.lit(-1))).filter(F.col("_m").isNotNull()).select(
         "dataset_id", F.when(~F.col("_m.emitted_id").startswith("unknown."), F.col("_m.status")).alias("status"), F.lit(1).alias("exit_code"),
@@ -270,16 +271,16 @@ def _diagnosed(c):
     errors = diagnostics.server_errors(c.publisher_log.select("dataset_id", "line_no", "line"), ["dataset_id"])
     verdicts = items.item_verdicts(c.stac_items, flatten_schemas(c.schema_docs)).join(
         c.stac_items.select("item_id", "file_name", "o_orderkey"), "item_id").join(
-        c.datasets.select("o_orderkey", "dataset_id"), "o_orderkey").filter(F.col("o_orderkey") % 4 != 1).withColumnRenamed("file_name", "stac_file")
+        c.datasets.select("o_orderkey", "dataset_id"), "o_orderkey").withColumnRenamed("file_name", "stac_file")
     return diagnostics.diagnose(c.datasets.select("dataset_id", "campaign"), statuses, errors, verdicts, "diag-1", NOW_TS, F.sha2("dataset_id", 256))
 
 
 _DIAG = f"""{_BODY.replace("select run_id, batch_no, line_no, cast(", "select dataset_id, run_id, batch_no, line_no, cast(", 1)},
-  last_line as (select dataset_id, arg_max(line, line_no) as line, max(run_id) as run_id from publisher_log group by dataset_id),
+  last_line as (select dataset_id, arg_max(line, line_no) as line, max(run_id) as run_id from publisher_log where contains(line, 'PUB_STATUS=') group by dataset_id),
   told as (select dataset_id, run_id, case when contains(line, 'id=unknown.') then null when contains(line, 'PASS') then 'SUCCESS' else 'FAILED' end as status from last_line where contains(line, 'PUB_STATUS=')),
   last_error as (select dataset_id, max(line_no) as line_no from server group by dataset_id),
   errors as (select s.* from server_fields s join last_error using (dataset_id, line_no)),
-  verdict as (select d.dataset_id, i.file_name, v.* exclude (item_id) from verdicts v join stac_items i on i.item_id = v.item_id join datasets d on d.o_orderkey = i.o_orderkey where d.o_orderkey % 4 <> 1),
+  verdict as (select d.dataset_id, i.file_name, v.* exclude (item_id) from verdicts v join stac_items i on i.item_id = v.item_id join datasets d on d.o_orderkey = i.o_orderkey),
   j as (select d.dataset_id, d.campaign, t.dataset_id as told, t.status, t.run_id, e.http_status, e.error_type, e.schema_url, e.rejected_value, e.suggested_value, e.summary, e.server_instance,
       v.valid, v.schema_url as v_schema, v.rejected_value as v_rejected, v.suggested_value as v_suggested, v.summary as v_summary, v.file_name,
       case when t.status = 'SUCCESS' then 'RECOVERED' when t.status = 'FAILED' and v.valid = false then 'DIAGNOSED' when t.status = 'FAILED' and e.http_status is not null then 'DIAGNOSED'

@@ -94,10 +94,10 @@ SQL["latest_success"] = "select dataset_id, max(case when status = 'SUCCESS' the
 Q["files_per_dataset"] = lambda c: registration.files_per_dataset(c.files)
 SQL["files_per_dataset"] = "select dataset_id, count(*) as n_files, cast(sum(file_size) as bigint) as total_size from files group by dataset_id"
 
-Q["recent_failures"] = lambda c: reports.newest_first(reports.failures(c.datasets, c.publication_attempts)).limit(100).select(
+Q["recent_failures"] = lambda c: reports.newest_first(reports.failures(c.datasets, c.publication_attempts)).select(
     "dataset_id", "run_id", "started_at")
 SQL["recent_failures"] = """select p.dataset_id, p.run_id, p.started_at from publication_attempts p join datasets d on d.dataset_id = p.dataset_id
-where p.status = 'FAILED' order by p.started_at desc nulls last limit 100"""
+where p.status = 'FAILED' order by p.started_at desc nulls last"""
 
 Q["examples"] = lambda c: reports.examples(
     c.datasets.filter(F.col("publication_status") == "FAILED").select("dataset_id"), "dataset_id", 20)
@@ -236,14 +236,14 @@ from publication_attempts p join datasets d on d.dataset_id = p.dataset_id where
 def _history(c):
     path = fresh_folder(c.spark, "history")
     a = c.publication_attempts
-    for status in ("SUCCESS", "FAILED"):
-        outputs.append_history(a.filter(F.col("status") == status), path)
+    for part in (F.col("status") == "SUCCESS", ~F.coalesce(F.col("status") == "SUCCESS", F.lit(False))):
+        outputs.append_history(a.filter(part), path)
     back = c.spark.read.schema(schemas.ATTEMPTS).parquet(path)
     return back.select("attempt_id", "dataset_id", "run_id", "started_at", "status", "exit_code")
 
 
 Q["append_history"] = _history
-SQL["append_history"] = "select attempt_id, dataset_id, run_id, started_at, status, exit_code from publication_attempts where status in ('SUCCESS', 'FAILED')"
+SQL["append_history"] = "select attempt_id, dataset_id, run_id, started_at, status, exit_code from publication_attempts"
 
 
 def _state(c):
