@@ -173,21 +173,23 @@ def _looked_up(doc: Column, root: Column, members: Column, properties: Column, r
             .otherwise(F.try_variant_get(doc, path, "variant"))
         )
         place = F.concat(F.lit("$"), below, F.substr(x["r"]["place"], F.lit(2)))
+        shown = F.concat(F.lit("$"), below, F.substr(x["r"]["shown"], F.lit(2)))
         # An absent value only matters where its owner is an object.
         owned = F.when((x["r"]["kind"] == "required") & value.isNull(), (
             F.when(x["n"] == 1, F.lit(True))
             .when((x["n"] == 2) & (F.get(x["steps"], 0) == "properties"), properties.isNotNull())
             .otherwise(json_kind(F.try_variant_get(doc, place, "variant")) == "OBJECT")
         ))
-        return F.struct(x["r"].alias("r"), value.alias("value"), place.alias("place"), owned.alias("owned"))
+        return F.struct(x["r"].alias("r"), value.alias("value"), place.alias("place"), shown.alias("shown"), owned.alias("owned"))
 
     def detail(f: Column) -> Column:
         kind, value = f["r"]["kind"], f["value"]
         return F.struct(
-            f["r"].alias("r"), value.alias("value"), f["place"].alias("place"), f["owned"].alias("owned"),
-            F.when(~kind.isin("required", "enum", "const", "unsupported"), json_kind(value)).alias("kind"),
-            F.when(kind.isin("enum", "const", "pattern"), F.try_variant_get(value, "$", "string")).alias("text"),
-            F.when(kind.isin("minimum", "maximum", "type"), F.try_variant_get(value, "$", "double")).alias("number"),
+            f["r"].alias("r"), value.alias("value"), f["place"].alias("place"), f["shown"].alias("shown"), f["owned"].alias("owned"),
+            F.when(~kind.isin("required", "unsupported"), json_kind(value)).alias("kind"),
+            F.when(kind.isin("enum", "const", "pattern", "minLength", "maxLength"), F.try_variant_get(value, "$", "string")).alias("text"),
+            F.when(kind.isin("enum", "const", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "type"),
+                   F.try_variant_get(value, "$", "double")).alias("number"),
         )
 
     return F.transform(F.transform(F.transform(rules, look_up), read), detail)
@@ -208,11 +210,21 @@ def _is_broken(f: Column) -> Column:
     verdict = (
         F.when(rule["kind"] == "required", ~present & f["owned"])
         .when(~present, F.lit(False))
-        .when(rule["kind"] == "unsupported", F.lit(True))
+        .when(rule["kind"] == "unsupported", F.lit(False))
         .when(rule["kind"] == "type", ~F.exists(rule["accepted"], lambda n: _fits(n, kind, whole)))
-        .when(rule["kind"].isin("enum", "const"), ~F.array_contains(rule["accepted"], F.coalesce(f["text"], F.lit("null"))))
+        .when(rule["kind"].isin("enum", "const"), ~(
+            # A value is accepted by one of its own JSON kind; numbers compare as numbers.
+            F.when(kind == "STRING", F.array_contains(rule["texts"], f["text"]))
+            .when(kind.isin(*_NUMBERS), F.array_contains(rule["numbers"], number))
+            .otherwise(F.array_contains(rule["literals"], F.to_json(f["value"])))
+        ))
         .when(rule["kind"] == "minimum", kind.isin(*_NUMBERS) & (number < rule["number"]))
         .when(rule["kind"] == "maximum", kind.isin(*_NUMBERS) & (number > rule["number"]))
+        .when(rule["kind"] == "exclusiveMinimum", kind.isin(*_NUMBERS) & (number <= rule["number"]))
+        .when(rule["kind"] == "exclusiveMaximum", kind.isin(*_NUMBERS) & (number >= rule["number"]))
+        .when(rule["kind"] == "minLength", (kind == "STRING") & (F.char_length(f["text"]) < rule["number"]))
+        .when(rule["kind"] == "maxLength", (kind == "STRING") & (F.char_length(f["text"]) > rule["number"]))
+        .when(rule["kind"] == "maxItems", (kind == "ARRAY") & (F.size(members) > rule["number"]))
         .when(rule["kind"] == "pattern", (kind == "STRING") & ~F.rlike(f["text"], F.get(rule["accepted"], 0)))
         .when(rule["kind"] == "minItems", (kind == "ARRAY") & (F.size(members) < rule["number"]))
         .when(rule["kind"] == "items.type", (kind == "ARRAY") & odd_member)
@@ -243,21 +255,22 @@ def _judged(items: DataFrame, schemas: DataFrame) -> DataFrame:
     Items with earlier issues keep one row without a schema. One pass over the documents;
     rules are tested inside the item row and only failures are kept.
     """
-    p = parsed(items)
+    # One row per item file, whatever ids the files claim.
+    p = parsed(items).withColumn("_row", F.monotonically_increasing_id())
     doc = F.col("_doc")
     p = with_once(
         p, _members=F.try_variant_get(doc, "$", "map<string,variant>"),
         _props=F.try_variant_get(doc, "$.properties", "map<string,variant>"),
     )
     e = p.select(
-        "item_id", "doc", "_doc", "_members", "_props", "_issues", "_source", F.posexplode_outer("_urls").alias("schema_no", "url")
+        "_row", "item_id", "doc", "_doc", "_members", "_props", "_issues", "_source", F.posexplode_outer("_urls").alias("schema_no", "url")
     ).join(schemas, "url", "left")
     root = schema_root(F.col("contract"), F.map_keys("_members"), F.col("_props").isNotNull())
     e = with_once(e, _root=root)
     found = F.filter(_looked_up(doc, F.col("_root"), F.col("_members"), F.col("_props"), F.col("rules")), _is_broken)
     kept = F.transform(found, lambda f: F.struct(
-        (-f["r"]["depth"]).alias("above"), f["place"].alias("path"), f["r"]["rule_no"].alias("rule_no"),
-        f["r"]["kind"].alias("kind"), f["r"]["arg"].alias("arg"),
+        (-f["r"]["depth"]).alias("above"), f["shown"].alias("path"), f["r"]["rule_no"].alias("rule_no"),
+        f["r"]["kind"].alias("kind"), f["r"]["arg"].alias("arg"), f["place"].alias("place"),
     ))
     return with_once(e, _broken=F.when(F.col("_issues").isNull(), F.array_sort(kept))).drop("_members", "_props", "rules")
 
@@ -286,7 +299,7 @@ def _violations(items: DataFrame, schemas: DataFrame) -> DataFrame:
     worded = b.select(
         "item_id", "schema_no", F.col("url").alias("schema_url"), F.col("b.path").alias("path"),
         F.col("b.kind").alias("validator"), (-F.col("b.above")).alias("depth"), F.col("b.rule_no").alias("rule_no"),
-        _worded(F.col("b.path"), F.col("b.kind"), F.col("b.arg")).alias("w"),
+        _worded(F.col("b.place"), F.col("b.kind"), F.col("b.arg")).alias("w"),
     )
     return worded.select(
         "item_id", "schema_no", "schema_url", "path", "validator", "depth", "rule_no", "w.message",
@@ -309,7 +322,9 @@ def schema_issues(items: DataFrame, schemas: DataFrame) -> DataFrame:
 
 
 def item_verdicts(items: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Per item: valid, invalid or unknown (null), the first issue, the number of issues and a summary.
+    """Per item file: valid, invalid or unknown (null), the first issue, the number of issues and a summary.
+
+    An item without issues whose schemas hold rules that cannot be judged is unknown.
 
     Schemas are asked in declared order up to the first missing one; issues found before it
     count. One pass and one exchange: an item's declared schemas meet again under its id,
@@ -318,9 +333,9 @@ def item_verdicts(items: DataFrame, schemas: DataFrame) -> DataFrame:
     early = F.col("_issues")
     asked = F.when(early.isNull(), F.struct(
         "schema_no", "url", F.col("contract").isNull().alias("gone"),
-        F.size("_broken").alias("n_broken"), F.get("_broken", 0).alias("head"),
+        F.size("_broken").alias("n_broken"), F.get("_broken", 0).alias("head"), F.get("unknown", 0).alias("unknown"),
     ))
-    g = _judged(items, schemas).groupBy("item_id").agg(
+    g = _judged(items, schemas).groupBy("_row", "item_id").agg(
         F.any_value("doc").alias("doc"),
         F.any_value(F.struct(
             F.size(early).alias("n"), F.col("_source").alias("schema_url"), F.get(early, 0)["path"].alias("path"),
@@ -338,11 +353,15 @@ def item_verdicts(items: DataFrame, schemas: DataFrame) -> DataFrame:
     g = with_once(g, _n=F.when(F.col("early.n") > 0, F.col("early.n")).otherwise(n_late), _first=first)
     g = with_once(g, _doc=F.when(F.col("_first").isNotNull(), F.try_parse_json("doc")))
     head = F.col("_first.head")
-    g = g.withColumn("_w", _worded(head["path"], head["kind"], head["arg"]))
+    g = g.withColumn("_w", _worded(head["place"], head["kind"], head["arg"]))
     late = F.col("early.n") > 0
-    # Fixed value: message format.
+    unjudged = F.get(F.filter("_before", lambda a: a["unknown"].isNotNull()), 0)
+    # Fixed value: message format of a missing schema. The other text is our own.
     error = F.when(
         F.col("_gone").isNotNull(), F.concat(F.col("_gone.url"), F.lit(": LookupError: schema document not available"))
+    ).when(
+        (F.col("_n") == 0) & unjudged.isNotNull(),
+        F.concat(unjudged["url"], F.lit(": rule not supported: "), unjudged["unknown"]),
     )
     f = g.select(
         "item_id", F.col("_n").cast("bigint").alias("n_issues"), error.alias("error"),

@@ -60,7 +60,7 @@ def test_item_verdicts(spark):
         p(["p"], base_id="P", **{"x:list": ["T", 1]}), p(["gone"]), p(["s", "gone"], **{"x:status": "nope"}), p(["gone", "s"], **{"x:status": "nope"}),
         "{bad", item(links=...), item(bbox=[-190.0, 0, 1, 1]), item(stac_extensions=[]), p(["o"]), item(bbox=...), "[1]",
     ], known)
-    assert [v.valid for v in out] == [False, True, False, True, False, False, False, None, False, None, False, False, False, False, False, False, False]
+    assert [v.valid for v in out] == [False, True, False, True, False, False, False, None, False, None, False, False, False, False, None, False, False]
     assert (out[0].path, out[0].rejected_value, out[0].suggested_value) == ("$.properties.x:status", "publshed", "published")
     assert out[0].summary == (
         "Local STAC validation failed: $.properties.x:status: 'publshed' is not one of ['published', 'retracted'] Likely accepted value: 'published'.")
@@ -81,7 +81,7 @@ def test_schema_flattening_follows_references():
     doc = {"$ref": "#/definitions/a~1b", "definitions": {"a/b": {"required": ["x"], "allOf": [{"properties": {"y": {"type": "string"}}}], "$ref": "#/definitions/a~1b"}},
            "anyOf": [{"required": ["z"]}]}
     assert contract_names(doc) == ["x", "y", "z"]
-    assert {(r["kind"], r["place"]) for r in rule_rows(doc)} == {("required", "$"), ("type", "$.y"), ("unsupported", "$")}
+    assert {(r["kind"], r["shown"]) for r in rule_rows(doc)} == {("required", "$"), ("type", "$.y"), ("unsupported", "$")}
     assert contract_names({}) == [] and rule_rows({}) == []
 
 
