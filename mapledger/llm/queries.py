@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapledger.llm import chains, count_trees, cross_polytope, minmax, mixing, piece_transducer, private, quality, repeats, rotation_codes
+from mapledger.llm import chains, count_trees, cross_polytope, minmax, mixing, piece_transducer, private, quality, repeats, rotation_codes, statements
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,4 +73,8 @@ Q: dict[str, Query] = {
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_rotation_codes": statements.ROTATION_CODES,
+    "op2_repeats": statements.REPEATS,
+    "op3_minmax": statements.MINMAX,
+}
