@@ -270,7 +270,7 @@ def _stream_attempts(c):
     e = _event_stream(c)
     status = (F.when(F.col("event_type") == "purchase", "SUCCESS").when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "view", "RUNNING")
               .when(F.col("event_type") == "click", "NO_STATUS").otherwise("UNREACHED"))
-    e = e.withColumn("key", F.col("event_id") % 1499)
+    e = e.withColumn("key", F.floor(F.col("event_id") / 4))
     return e.join(_names(c), F.col("key") == F.col("o_orderkey")).select(
         F.col("event_id").cast("string").alias("attempt_id"), "dataset_id", "campaign", F.concat(F.lit("run-"), (F.col("event_id") % 3).cast("string")).alias("run_id"),
         F.col("ts").cast("timestamp").alias("started_at"), status.alias("status"), "event_id")
@@ -294,11 +294,11 @@ from publication_attempts p join datasets d on d.dataset_id = p.dataset_id group
 def _log_stream(c):
     """Log lines written as run files, tailed as a stream, applied per micro-batch."""
     folder = fresh_folder(c.spark, "logs")
-    c.publisher_log.select("run_id", F.concat_ws("\t", F.col("line_no").cast("string"), "line").alias("value")).write.partitionBy("run_id").text(f"{folder}/in")
-    lines = c.spark.readStream.format("text").schema("value string, run_id string").load(f"{folder}/in").select(
+    c.publisher_log.select("run_id", F.concat_ws("\t", F.col("line_no").cast("string"), "line").alias("value")).repartition("run_id", F.col("line_no") % 4).write.partitionBy("run_id").text(f"{folder}/in")
+    lines = c.spark.readStream.format("text").schema("value string, run_id string").option("maxFilesPerTrigger", 2).load(f"{folder}/in").select(
         "run_id", F.substring_index("value", "\t", 1).cast("bigint").alias("line_no"), F.regexp_replace("value", r"^\d+\t", "").alias("line"))
     q = streams.status_stream(lines).writeStream.foreachBatch(streams.write_statuses(f"{folder}/out")).option(
-        "checkpointLocation", f"{folder}/check").option("maxFilesPerTrigger", 2).trigger(availableNow=True).start()
+        "checkpointLocation", f"{folder}/check").trigger(availableNow=True).start()
     _run(q)
     known = c.datasets.select(F.replace("dataset_id", F.lit("#"), F.lit(".v")).alias("emitted_id"), "dataset_id")
     return streams.last_streamed_statuses(c.spark.read.parquet(f"{folder}/out"), known)
