@@ -206,7 +206,7 @@ def drawn(documents: DataFrame, labels: DataFrame, targets: Sequence[float] = TA
     model = fit(documents, labelled_domains(labels))
     held = staged(memberships(documents, model, keep=[]), "memberships")
     clean = held.agg(F.coalesce(F.sum(F.col("posteriors")[0] * F.col("tokens")), F.lit(0.0))).first()[0]
-    history = fitted_steps(held, targets, 1.25 * clean * sum(targets) / targets[0], 1.0)
+    history = fitted_steps(held, targets, 1.25 * clean * sum(targets) / targets[0], 1.0, steps=STEPS // 2)
     own = [F.col(f"`{c}`") for c in documents.columns]
     named = documents.select(F.struct(*own).alias("_own"), "text", "doc_id")
     rated = with_rates(memberships(named, model, keep=["_own", "text", "doc_id"]), history, 1.0)

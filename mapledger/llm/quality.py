@@ -83,7 +83,7 @@ def learn(examples: list[tuple[np.ndarray, np.ndarray, int]], classes: int, seed
             buckets, counts, truth = examples[i]
             rate = RATE * (1 - done / steps)
             done += 1
-            share = (counts / max(counts.sum(dtype=np.int64), 1)).astype(np.float32)
+            share = counts / max(counts.sum(), np.float32(1))
             rows = vectors[buckets]
             hidden = share @ rows
             logits = hidden @ layer + bias
@@ -98,19 +98,6 @@ def learn(examples: list[tuple[np.ndarray, np.ndarray, int]], classes: int, seed
     return Model(np.ascontiguousarray((vectors @ layer).T), bias.astype(np.float64))
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for data, label in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-            buckets, counts = np.unique(features(data), return_counts=True)
-            rows.append((label, buckets.astype(np.int32).tobytes(), np.minimum(counts, 65535).astype(np.uint16).tobytes()))
-        names = ("label", "buckets", "counts")
-        kinds = (pa.int32(), pa.binary(), pa.binary())
-        columns = zip(*rows, strict=True) if rows else [(), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=list(names))
-
-
 def fit(documents: DataFrame, labelled: DataFrame, classes: int = 2, sample: int = SAMPLE) -> Model:
     """A model from (doc_id, label) rows with labels 0 to classes - 1, on `sample` documents at most."""
     chosen = (
@@ -118,13 +105,13 @@ def fit(documents: DataFrame, labelled: DataFrame, classes: int = 2, sample: int
         .groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = (
-        documents.select("doc_id", "text").join(chosen, "doc_id").select("text", "label", "doc_id")
-        .mapInArrow(_examples, "label int, buckets binary, counts binary").collect()
-    )
-    rows.sort(key=lambda r: (r.label, bytes(r.buckets), bytes(r.counts)))
-    return learn(
-        [(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.counts, np.uint16), r.label) for r in rows], classes)
+    # The texts of the sample are smaller than their features, which are made here.
+    rows = documents.select("doc_id", "text").join(chosen, "doc_id").select("label", F.coalesce("text", F.lit(""))).collect()
+    examples = []
+    for label, text in sorted(map(tuple, rows)):
+        buckets, counts = np.unique(features(np.frombuffer(text.encode(), np.uint8)), return_counts=True)
+        examples.append((buckets.astype(np.int32), counts.astype(np.float32), label))
+    return learn(examples, classes)
 
 
 def with_posteriors(documents: DataFrame, model: Model, name: str = "posteriors") -> DataFrame:

@@ -72,23 +72,32 @@ def rotation(width: int, number: int) -> np.ndarray:
     return basis * np.sign(np.diag(upper))
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _vectors(kind: str):
     """Each row's digest, and its vector as bytes; both null where the vector takes no part."""
-    for batch in batches:
-        ids = batch.column(0)
-        digests, held = [None] * len(ids), [None] * len(ids)
-        for rows, matrix in usable(batch.column(1)):
-            for row, vector in zip(rows, matrix, strict=True):
-                held[row] = vector.tobytes()
-                digests[row] = hashlib.blake2b(held[row], digest_size=16).digest()
-        taken = ids.is_valid().to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array([d if t else None for d, t in zip(digests, taken, strict=True)], pa.binary()),
-             pa.array(held, pa.binary())],
-            names=["vec_id", "digest", "vector"])
-
-
-def _coded(chosen: Plan):
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            digests, held = [None] * len(ids), [None] * len(ids)
+            for rows, matrix in usable(batch.column(1)):
+                for row, vector in zip(rows, matrix.astype(kind), strict=True):
+                    held[row] = vector.tobytes()
+                    digests[row] = hashlib.blake2b(held[row], digest_size=16).digest()
+            taken = ids.is_valid().to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([d if t else None for d, t in zip(digests, taken, strict=True)], pa.binary()),
+                 pa.array(held, pa.binary())],
+                names=["vec_id", "digest", "vector"])
+
+    return run
+
+
+def _matrix(raw: list[bytes], kind: str) -> np.ndarray:
+    """Stored vectors of one length, in double precision."""
+    return np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+
+
+def _coded(chosen: Plan, kind: str):
     """Codes (packed signs of all rotations), factors and band keys of each vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +107,7 @@ def _coded(chosen: Plan):
             lengths = np.array([len(v) for v in raw])
             for length in np.unique(lengths):
                 rows = np.flatnonzero(lengths == length)
-                wide = padded(unit(np.frombuffer(b"".join(raw[r] for r in rows), np.float64).reshape(len(rows), -1)))
+                wide = padded(unit(_matrix([raw[r] for r in rows], kind)))
                 width = wide.shape[1]
                 signs, scales = [], []
                 for r in range(chosen.rotations(width)):
@@ -126,7 +135,7 @@ def _band_keys(packed: np.ndarray, width: int, chosen: Plan) -> np.ndarray:
     return np.stack(keys, axis=1) + np.int64(width // 64) * (np.int64(1) << np.int64(chosen.bits))
 
 
-def _linked(chosen: Plan):
+def _linked(chosen: Plan, kind: str):
     """Inside one bucket (or pair of its blocks): estimate, recompute where needed, return counts and links."""
 
     def judge(number: int, home: np.ndarray, crossing: bool, vectors: np.ndarray, codes: np.ndarray,
@@ -185,7 +194,7 @@ def _linked(chosen: Plan):
                     part = order[lengths == length]
                     count, up, active = judge(
                         int(number[s]), home[part], low[s] != high[s],
-                        np.frombuffer(b"".join(raw[i] for i in part), np.float64).reshape(len(part), -1),
+                        _matrix([raw[i] for i in part], kind),
                         np.frombuffer(b"".join(codes[i] for i in part), np.uint8).reshape(len(part), -1),
                         np.frombuffer(b"".join(factors[i] for i in part), np.float32).reshape(len(part), -1),
                         copies[part])
@@ -201,7 +210,9 @@ def _linked(chosen: Plan):
 def classes(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    held = staged(rows.mapInArrow(_vectors, "vec_id long, digest binary, vector binary"), "vectors")
+    # Vectors travel in the precision they were given in; every product is formed in double precision.
+    kind = "<f4" if rows.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
+    held = staged(rows.mapInArrow(_vectors(kind), "vec_id long, digest binary, vector binary"), "vectors")
     # The least id of equal vectors stands for them; ids may repeat, so (id, digest) picks the row.
     same = staged(
         held.where("digest is not null").groupBy("digest")
@@ -210,14 +221,16 @@ def classes(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
     chosen = plan(same.count(), least)
     index = staged(
         same.select("vec_id", "copies", "vector").mapInArrow(
-            _coded(chosen), "vec_id long, copies long, vector binary, code binary, factors binary, bands array<long>"),
+            _coded(chosen, kind), "vec_id long, copies long, vector binary, code binary, factors binary, bands array<long>"),
         "codes")
     banded = index.select("vec_id", "copies", "vector", "code", "factors", F.posexplode("bands").alias("number", "key"))
-    sizes = index.select(F.posexplode("bands").alias("number", "key")).groupBy("number", "key").agg(
-        F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = sizes.select("number", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    # Only buckets beyond one block need to know their size. Being a written table, this one's size is known when
+    # the join is planned: it is sent to all tasks while it is small, and exchanged where it is not.
+    blocks = staged(
+        index.select(F.posexplode("bands").alias("number", "key")).groupBy("number", "key").agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > BLOCK).select("number", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "blocks")
     dealt = (
-        banded.join(blocks, ["number", "key"])
+        banded.join(blocks, ["number", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("home", F.expr("cast(pmod(xxhash64(vec_id), blocks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .withColumn("low", F.least("home", "other")).withColumn("high", F.greatest("home", "other"))
@@ -226,7 +239,7 @@ def classes(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
     keys = ["number", "key", "low", "high"]
     links = staged(
         dealt.repartition(*keys).sortWithinPartitions(*keys)
-        .mapInArrow(_linked(chosen), "vec_id long, root long, links long"), "links")
+        .mapInArrow(_linked(chosen, kind), "vec_id long, root long, links long"), "links")
     counted = links.groupBy("vec_id").agg(F.sum("links").alias("_links"))
     component = connected(links.where("vec_id <> root"), "vec_id", "root").withColumnRenamed("node", "vec_id")
     known = (
