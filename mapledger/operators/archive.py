@@ -59,13 +59,16 @@ def planned_tasks(
 ) -> DataFrame:
     """Tasks for archivable datasets, as catalog rows plus ``problem``.
 
-    With checks, a campaign with any blocker gets no task at all. A dataset without
-    an archive path keeps its row with the reason, so the caller can refuse the whole set.
+    With checks, a campaign with any blocker gets no task at all; a dataset without a check
+    blocks too. A dataset without an archive path keeps its row with the reason, so the caller
+    can refuse the whole set (``unless_refused``).
     """
     rows = selections.archivable(datasets, campaign, limit)
     if checks is not None:
         # Only datasets about to be archived can block; one row per blocked campaign.
-        blocked = blockers(checks.join(rows.select("dataset_id"), "dataset_id", "left_semi")).select("campaign").distinct()
+        outcomes = checks.select("dataset_id", F.col("outcome").alias("_outcome"))
+        missing_or_bad = ~F.coalesce(F.col("_outcome") == "PRESENT", F.lit(False))
+        blocked = rows.join(outcomes, "dataset_id", "left").filter(missing_or_bad).select("campaign").distinct()
         rows = rows.join(blocked, "campaign", "left_anti")
     checksum = F.col("mapfile_checksum")
     if fingerprints is not None:
@@ -186,3 +189,9 @@ def import_into_datasets(datasets: DataFrame, classified: DataFrame, now: dt.dat
         "archive_status": F.when(hit, F.lit("SUCCESS")).otherwise(F.col("archive_status")),
         "archive_completed_at": F.when(hit, F.lit(now).cast("timestamp_ntz")).otherwise(F.col("archive_completed_at")),
     }, drop=("_done",))
+
+
+def unless_refused(tasks: DataFrame) -> DataFrame:
+    """The tasks, or none of them where any has a problem; the other side of the join is one row at most."""
+    gate = tasks.filter(F.col("problem").isNotNull()).limit(1).select(F.lit(0).alias("_gate"))
+    return tasks.withColumn("_gate", F.lit(0)).join(F.broadcast(gate), "_gate", "left_anti").drop("_gate", "problem")

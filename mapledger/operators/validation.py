@@ -19,9 +19,11 @@ def line_problems(lines: DataFrame, inventory: DataFrame) -> DataFrame:
     p = lines.select("mapfile", "line_no", strip(F.col("line")).alias("line")).filter(F.col("line") != "")
     cells = F.split("line", r"\|", -1)
     p = p.select("mapfile", "line_no", F.when(F.size(cells) >= 3, strip(F.get(cells, 1))).alias("path"))
-    known = inventory.select("path").distinct().withColumn("_there", F.lit(True))
-    # One pass over the lines: malformed ones have no path and match nothing either.
-    lost = p.join(known, "path", "left").filter(F.col("_there").isNull())
+    # One pass over the lines. Malformed ones have no path: each gets a key of its own, which no path equals,
+    # so they match nothing and do not meet in one task.
+    alone = F.concat(F.lit("\0"), F.xxhash64("mapfile", "line_no").cast("string"))
+    known = inventory.filter(F.col("path").isNotNull()).select(F.col("path").alias("_key"))
+    lost = p.withColumn("_key", F.coalesce("path", alone)).join(known, "_key", "left_anti")
     number = F.concat(F.lit("Line "), F.col("line_no").cast("string"), F.lit(": "))
     # Message formats.
     problem = F.when(F.col("path").isNull(), F.concat(number, F.lit("malformed mapfile row"))).otherwise(

@@ -122,15 +122,17 @@ def reconcile_catalog(
 
 def plan_archive(
     datasets: DataFrame, campaigns: DataFrame, attempts: DataFrame, responses: DataFrame, base_url: str,
-    names: ids.Names, now: dt.datetime, verify: bool = True,
+    names: ids.Names, now: dt.datetime, verify: bool = True, campaign: str | None = None, limit: int | None = None,
 ) -> DataFrame:
-    """Archive tasks; with ``verify`` a campaign with any unconfirmed dataset gets none."""
+    """Archive tasks; with ``verify`` a campaign with any unconfirmed dataset gets none.
+
+    Rows with a problem stay, so that it can be shown; ``archive.unless_refused`` gives what may be exported."""
     checks = None
     if verify:
-        candidates = selections.archivable(datasets).select("dataset_id")
+        candidates = selections.archivable(datasets, campaign, limit).select("dataset_id")
         scope = selections.reconcile_scope(datasets, scope="successful", ids=candidates)
         checks = reconcile.compare(scope, attempts, responses, base_url, now)
-    return archive.planned_tasks(datasets, campaigns, names, now, checks)
+    return archive.planned_tasks(datasets, campaigns, names, now, checks, campaign=campaign, limit=limit)
 
 
 @dataclass(frozen=True)

@@ -37,12 +37,21 @@ def write_csv(df: DataFrame, path: str, fields: Sequence[str]) -> str:
 
 def read_back(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
     kind = T.StructType([T.StructField(c, T.StringType()) for c in fields])
-    return spark.read.option("header", "true").option("escape", '"').schema(kind).csv(path)
+    # Free texts may hold line breaks; each task of the writer left a file of its own to read.
+    return spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").schema(kind).csv(path)
 
 
-def append_history(df: DataFrame, path: str, run_column: str = "run_id") -> str:
-    """Append history rows, one folder per run so that a run's rows are found without a scan."""
-    df.write.mode("append").partitionBy(run_column).parquet(path)
+def append_history(df: DataFrame, path: str, run_column: str = "run_id", part: str | None = None) -> str:
+    """Append history rows, one folder per run so that a run's rows are found without a scan.
+
+    ``part`` names what is appended: a retried job of the same name replaces its own rows
+    (a column ``part`` then stands beside the run). Without it a retry would repeat them.
+    """
+    if part is None:
+        df.write.mode("append").partitionBy(run_column).parquet(path)
+    else:
+        df.withColumn("part", F.lit(part)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(run_column, "part").parquet(path)
     return path
 
 

@@ -118,11 +118,12 @@ def missing_columns(found: Iterable[str], required: Iterable[str]) -> list[str]:
     return sorted(set(required) - set(found))
 
 
-def read_csv(spark: SparkSession, path: str, required: Iterable[str], multiline: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, required: Iterable[str], multiline: bool = True) -> DataFrame:
     """A CSV with header, all columns text, plus ``row_no``: an ordering value in file order.
 
-    Without ``multiline`` large files are split over tasks; the order combines the
-    position of the split with the position inside it.
+    Quoted fields may hold line breaks, so each file is read by one task. Files known to
+    have none can be split over tasks (``multiline=False``); the order combines the position
+    of the split with the position inside it.
     """
     reader = spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multiline).lower())
     head = reader.csv(path)

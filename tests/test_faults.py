@@ -5,8 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from mapledger import schemas
-from mapledger.operators import batching, publication, registration, restore
+from mapledger.operators import archive, batching, publication, registration, restore, validation
 from mapledger.plans import workflows
+from mapledger.sinks import outputs
+from mapledger.sources import files
 from tests.helpers import NOW, by, datasets
 
 NAMES = ["project", "activity", "name"]
@@ -128,3 +130,32 @@ def test_scan_totals_name_empty_campaigns(spark):
     changes = spark.createDataFrame([("c", None), (None, "broken")], "campaign string, error string")
     totals = by(registration.scan_totals(changes, spark.createDataFrame([("c",), ("e",)], "campaign string")), "campaign")
     assert (totals["c"].failed, totals["e"].scanned, totals["e"].failed) == (1, 0, 1)
+
+
+def test_line_breaks_inside_fields_survive(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 'first\nsecond, "third"'), ("b", None), ("c", "plain")], "task_id string, error_message string")
+    path = outputs.write_csv(rows, str(tmp_path / "out"), ["task_id", "error_message"])
+    assert by(outputs.read_back(spark, path, ["task_id", "error_message"]), "task_id")["a"].error_message == 'first\nsecond, "third"'
+    back = by(files.read_csv(spark, path, ["task_id"]), "task_id")
+    assert set(back) == {"a", "b", "c"} and back["a"].error_message == 'first\nsecond, "third"'
+
+
+def test_retried_append_replaces_its_own_rows(spark, tmp_path):
+    rows = spark.createDataFrame([("r1", "x"), ("r2", "y")], "run_id string, dataset_id string")
+    for part in ("one", "one", "two"):
+        outputs.append_history(rows, str(tmp_path / "h"), part=part)
+    assert spark.read.parquet(str(tmp_path / "h")).count() == 4
+
+
+def test_malformed_lines_and_missing_files_without_a_distinct_inventory(spark):
+    lines = spark.createDataFrame([("m", 1, "id | /a | 1"), ("m", 2, "bad"), ("m", 3, "bad"), ("m", 4, "id | /gone | 1")],
+                                  "mapfile string, line_no bigint, line string")
+    inventory = spark.createDataFrame([("/a",), ("/a",), (None,)], "path string")
+    found = {r.line_no: r.problem for r in validation.line_problems(lines, inventory).collect()}
+    assert set(found) == {2, 3, 4} and "missing file /gone" in found[4] and "malformed" in found[2]
+
+
+def test_any_problem_refuses_all_archive_tasks(spark):
+    good = spark.createDataFrame([("t1", None), ("t2", None)], "task_id string, problem string")
+    assert archive.unless_refused(good).count() == 2
+    assert archive.unless_refused(good.union(spark.createDataFrame([("t3", "no path")], good.schema))).count() == 0
