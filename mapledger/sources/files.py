@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterable, Iterator
 from pathlib import PurePosixPath
@@ -79,23 +80,32 @@ def campaigns_from_yaml(texts: DataFrame, base_dir: str, env: dict[str, str] | N
             path = str(PurePosixPath(base_dir) / path)
         return os.path.normpath(path)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import yaml
 
         for pdf in batches:
-            rows = []
-            for text in pdf["content"]:
-                for name, c in (yaml.safe_load(text) or {}).get("campaigns", {}).items():
-                    archive = c.get("archive") or {}
-                    on = bool(archive.get("enabled", False))
-                    rows.append((
-                        name, c["project"], c["activity"], c["institution"], expand(str(c["mapfile_root"])),
-                        archive.get("root") if on else None, archive.get("depth") if on else None,
-                    ))
-            yield pd.DataFrame(rows, columns=schemas.CAMPAIGNS.names)
-
-    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schemas.CAMPAIGNS.fields])
-    return texts.select("content").mapInPandas(run, nullable)
+            loaded = [(yaml.safe_load(text) or {}).get("campaigns", {}) for text in pdf["content"]]
+            yield pd.DataFrame(
+                [(name, expand(str(entry["mapfile_root"])), json.dumps(entry, default=str))
+                 for campaigns in loaded for name, entry in campaigns.items()],
+                columns=["name", "mapfile_root", "entry"])
+
+    # Python only reads the YAML; what an entry means is told by columns.
+    kind = "project string, activity string, institution string, archive struct<enabled: boolean, root: string, depth: string>"
+    e = texts.select("content").mapInPandas(entries, "name string, mapfile_root string, entry string").withColumn(
+        "e", F.from_json("entry", kind))
+
+    def needed(member: str) -> Column:
+        value = F.col("e")[member]
+        told = F.concat(F.lit("campaign "), F.col("name"), F.lit(f" has no {member}"))
+        return F.when(value.isNull(), F.raise_error(told).cast("string")).otherwise(value).alias(member)
+
+    archived = F.coalesce(F.col("e.archive.enabled"), F.lit(False))
+    return e.select(
+        "name", needed("project"), needed("activity"), needed("institution"), "mapfile_root",
+        F.when(archived, F.col("e.archive.root")).alias("archive_root"),
+        F.when(archived, F.col("e.archive.depth")).alias("archive_depth"),
+    ).select(*schemas.CAMPAIGNS.names)
 
 
 def read_campaigns(spark: SparkSession, path: str, base_dir: str, **kwargs) -> DataFrame:
@@ -129,7 +139,7 @@ def read_csv(spark: SparkSession, path: str, required: Iterable[str], multiline:
     head = reader.csv(path)
     missing = missing_columns(head.columns, required)
     if missing:
-        raise ValueError(f"Missing required columns: {', '.join(missing)}")
+        raise ValueError(f"the CSV at {path} lacks the columns {', '.join(missing)}")
     kind = T.StructType([T.StructField(c, T.StringType()) for c in head.columns])
     rows = reader.option("enforceSchema", "true").schema(kind).csv(path)
     order = F.struct(
@@ -201,7 +211,7 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 def check_pattern(pattern: str) -> str:
     if not pattern or "/" in pattern or ".." in pattern:
-        raise ValueError("pattern must be a filename pattern, not a path")
+        raise ValueError(f"not a pattern of file names in one folder: {pattern!r}")
     return pattern
 
 

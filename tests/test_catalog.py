@@ -291,7 +291,7 @@ def test_csv_keeps_quotes_commas_and_blanks(spark, tmp_path):
 
 def test_missing_csv_columns_are_listed_sorted(spark, tmp_path):
     (tmp_path / "r.csv").write_text("task_id,status\n1,SUCCESS\n")
-    with pytest.raises(ValueError, match="Missing required columns: archive_path, dataset_id, mapfile_checksum"):
+    with pytest.raises(ValueError, match="lacks the columns archive_path, dataset_id, mapfile_checksum"):
         files.read_archive_results(spark, str(tmp_path / "r.csv"))
 
 
