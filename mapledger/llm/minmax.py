@@ -342,6 +342,9 @@ def _across(held: DataFrame, links: DataFrame, percent: int) -> DataFrame:
 
 def one_of_each(documents: DataFrame, percent: int = 80) -> DataFrame:
     """One document of each class, the one with the least id, with its own columns. Rows without an id stay."""
-    kept = classes(documents, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    left = documents.join(kept, documents["doc_id"] == kept["_kept"]).dropDuplicates(["_kept"]).drop("_kept")
+    kept = classes(documents, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
+    # A document's own columns travel in one, so that no name clashes.
+    own = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_own")
+    whole = documents.select(F.col("doc_id").cast("long").alias("_id"), own)
+    left = whole.join(kept, "_id").dropDuplicates(["_id"]).select("_own.*")
     return left.unionByName(documents.where(F.col("doc_id").isNull()))

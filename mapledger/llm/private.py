@@ -274,15 +274,18 @@ def redacted(documents: DataFrame) -> DataFrame:
         (a, x) -> named_struct('at', greatest(a.at, x.e), 'out', concat(a.out,
           IF(x.s >= a.at, concat(substring(text, a.at + 1, x.s - a.at), {marks}[x.kind]), ''))),
         a -> concat(a.out, substring(text, a.at + 1))) END""")
-    changed = with_candidates(documents, "_found").withColumn("_clean", clean)
+    # A document's own columns travel in one, so that no name clashes.
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own"), "text")
+    changed = with_candidates(whole, "_found").withColumn("_clean", clean)
     columns = []
     for c in own:
+        held = F.col("_own")[c]
         if c == "text":
             columns.append(F.col("_clean").alias("text"))
         elif c == "n_chars":
             kind = documents.schema[c].dataType
             same = F.col("_clean").eqNullSafe(F.col("text"))
-            columns.append(F.when(same, F.col(c)).otherwise(F.char_length("_clean").cast(kind)).alias(c))
+            columns.append(F.when(same, held).otherwise(F.char_length("_clean").cast(kind)).alias(c))
         else:
-            columns.append(F.col(f"`{c}`"))
+            columns.append(held.alias(c))
     return changed.select(*columns)

@@ -36,8 +36,8 @@ def corpus(seed=5):
 def documents(spark, rows=None):
     """The rows as a table with further columns whose names clash with those inside the operators."""
     kind = ("doc_id long, text string, lang string, source string, n_chars long, key string, grp long, rate double, "
-            "tree string, posteriors string, band int, candidates string")
-    full = [(i, t, "en", "src0", None if t is None else len(t), "k", 1, 0.5, "t", "p", 3, None)
+            "tree string, posteriors string, band int, candidates string, t string, digits boolean, _kept int")
+    full = [(i, t, "en", "src0", None if t is None else len(t), "k", 1, 0.5, "t", "p", 3, None, "t", True, 1)
             for i, t in (corpus() if rows is None else rows)]
     return spark.createDataFrame(full, kind)
 
