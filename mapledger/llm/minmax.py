@@ -40,7 +40,10 @@ BANDS = 2 * PERMUTATIONS // ROWS
 SKETCH = 64
 BUCKET = 4096
 BLOCK = 1024
+#: Shingles of one block, about: long documents come in smaller blocks.
+HELD = 1 << 19
 SIZE = 5
+_GATHERED = 1 << 20
 
 _MULTIPLIERS = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _SHIFTS = mix(np.arange(101, PERMUTATIONS + 101, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -171,9 +174,12 @@ def unite_similar(sets: list[np.ndarray], percent: int, forest: _Forest, asked:
         own = own[counts[own] > 1]
         if not len(own):
             continue
-        lengths = counts[own]
-        at = np.repeat(begins[own] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
-        shared = np.bincount(listed[at], minlength=len(sets))
+        shared = np.zeros(len(sets), np.int64)
+        # A slice of the lists at a time: long documents with many holders would gather too much at once.
+        for part in np.split(own, np.flatnonzero(np.diff(np.cumsum(counts[own]) // _GATHERED)) + 1):
+            lengths = counts[part]
+            at = np.repeat(begins[part] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
+            shared += np.bincount(listed[at], minlength=len(sets))
         linked = np.flatnonzero((100 * shared >= percent * (sizes + sizes[i] - shared)) & (roots != roots[i]))
         for j in linked:
             forest.unite(i, int(j))
@@ -276,11 +282,14 @@ def classes(documents: DataFrame, percent: int = 80) -> DataFrame:
     reps = staged(
         filled.join(same_set.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_digest")), "doc_id")
         .where(F.col("digest") == F.col("_digest")).dropDuplicates(["doc_id", "digest"])
-        .select("doc_id", "bands", "sketch"), "sketches")
+        .select("doc_id", "n_shingles", "bands", "sketch"), "sketches")
     groups = staged(_candidates(reps, percent).withColumnRenamed("node", "doc_id")
                     .withColumnRenamed("component", "grp"), "groups")
-    # Full sets of candidates only. A group is dealt over blocks of about BLOCK documents by a hash of the id.
-    counts = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    # Full sets of candidates only. A group is dealt over blocks of about BLOCK documents or HELD shingles by a hash
+    # of the id.
+    sizes = reps.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
+    counts = groups.join(sizes, "doc_id").groupBy("grp").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / HELD)).cast("int").alias("blocks"))
     placed = groups.join(counts, "grp").withColumn(
         "block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
     held = staged(texts.join(placed.hint("merge"), "doc_id").select("grp", "block", "blocks", "doc_id", "text"), "candidates")
