@@ -102,7 +102,7 @@ class Transducer:
         """The border machine: these two may stand side by side."""
         known = self._apart.get((left, right))
         if known is None:
-            if len(self._apart) >= 2 * CACHE:
+            if len(self._apart) >= CACHE:
                 self._apart.clear()
             known = self._apart[left, right] = self._merged(left + right) == [left, right]
         return known
@@ -125,7 +125,7 @@ class Transducer:
             arcs.insert(0, (word[at], _FALLBACK))
         found = tuple(reversed(arcs))
         if end - at < _AHEAD:
-            if len(self._read) >= CACHE:
+            if len(self._read) >= CACHE // 4:
                 self._read.clear()
             self._read[ahead] = found
         return found
@@ -196,6 +196,10 @@ class Transducer:
         self._words[word] = known
         return known
 
+    def forget(self) -> None:
+        """Drop the words of a finished task: workers are reused, and what they hold counts in later stages."""
+        self._words, self._older = {}, {}
+
     def _spelled(self, pieces: list[str]) -> tuple[int, ...]:
         ids: list[int] = []
         model, known = self.model, self.model.ids.get
@@ -283,6 +287,7 @@ def _both_ways(path: str, digest: bool):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes), listed, pa.array(same, pa.bool_())],
                 names=["doc_id", "n_pieces", "ids_sha256" if digest else "ids", "same"])
+        machine.forget()
 
     return run
 
