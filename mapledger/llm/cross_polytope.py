@@ -121,14 +121,18 @@ def _top(queries: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np
 
 def _block_best(asked: np.ndarray, asked_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best rows of one block for each query, ties included before the exact ranking."""
+    """The k best ids of one block for each query, ties included before the exact ranking."""
     found: tuple[list, list, list] = ([], [], [])
+    by_id = np.argsort(ids, kind="stable")
+    firsts = np.flatnonzero(np.concatenate(([True], ids[by_id[1:]] != ids[by_id[:-1]])))
     for at in range(0, len(asked), 1024):
         part, own = asked[at : at + 1024], asked_ids[at : at + 1024]
         rough = part @ rows.T
         rough[own[:, None] == ids[None, :]] = -np.inf
-        if len(ids) > k:
-            bar = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k]
+        if len(firsts) > k:
+            # An id's rows are one candidate: the bar is the k-th best id's best row.
+            best = rough if len(firsts) == len(ids) else np.maximum.reduceat(rough[:, by_id], firsts, axis=1)
+            bar = np.partition(best, len(firsts) - k, axis=1)[:, len(firsts) - k]
             scale = np.abs(part).sum(axis=1) * np.abs(rows).max()
             rough[rough < (bar - 1e-12 * scale)[:, None]] = -np.inf
         q, x = np.nonzero(np.isfinite(rough))
@@ -286,7 +290,8 @@ def fitted_probes(index: DataFrame, queries: DataFrame, top: float | None, k: in
 def nearest(embeddings: DataFrame, asks: Column, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every row that `asks` is true for."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    held = staged(rows.mapInArrow(_plain, "vec_id long, vector binary, norm double"), "vectors")
+    plain = rows.mapInArrow(_plain, "vec_id long, vector binary, norm double")
+    held = staged(plain.dropDuplicates(["vec_id", "vector"]), "vectors")
     span = held.agg(F.min("norm"), F.max("norm")).first()
     # Lengths that differ by rounding alone need no lifting.
     top = span[1] if span[0] is not None and span[1] > span[0] * (1 + 1e-6) else None

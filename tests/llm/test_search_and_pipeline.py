@@ -37,6 +37,22 @@ def test_nearest_finds_most_and_ranks_exactly(spark, monkeypatch, block, stretch
     assert hits >= 0.9 * wanted
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_repeated_rows_are_one_candidate(spark, same):
+    draw = np.random.default_rng(5)
+    query = draw.standard_normal(32)
+    near = [query + 0.01 * draw.standard_normal(32) for _ in range(25)]
+    near = [v * np.linalg.norm(query) / np.linalg.norm(v) for v in near]
+    copies = [near[0] if same else near[0] * (1 + 1e-9 * k) for k in range(50)]
+    rows = [(0, query.tolist(), 0)] + [(k + 1, v.tolist(), 0) for k, v in enumerate(near)] + [(1, v.tolist(), 0) for v in copies]
+    found = cross_polytope.nearest(cases.embeddings(spark, rows), F.col("vec_id") == 0).collect()
+    best = {k + 1: float((query * v).sum()) for k, v in enumerate(near)}
+    best[1] = max(float((query * v).sum()) for v in [near[0], *copies])
+    truth = sorted(best, key=lambda i: (-best[i], i))[:20]
+    assert len({r.vec_id for r in found}) == len(found) == 20
+    assert len({r.vec_id for r in found} & set(truth)) >= 19
+
+
 def test_nearest_of_nothing(spark):
     assert cross_polytope.nearest(cases.embeddings(spark, []), F.col("vec_id") % 20 == 0).count() == 0
 
