@@ -126,9 +126,9 @@ def memberships(documents: DataFrame, model: DomainModel, keep: Sequence[str] =
 
 
 def fitted_steps(members: DataFrame, targets: Sequence[float], total: float | None = None,
-                 most: float | None = None, steps: int = STEPS) -> list[tuple[np.ndarray, float]]:
+                 most: float | None = None, steps: int = STEPS, lead: float = 1.0) -> list[tuple[np.ndarray, float]]:
     """The gradient steps that fit the rates, each with its momentum; `total` expected tokens are wanted (as many
-    as there are, if not given), and no rate may exceed `most`.
+    as there are, if not given), and no rate may exceed `most`. Of the leading domain alone `lead` times as much is wanted.
 
     A document's step is its gradient over its tokens, and its pull to 1 is weighed by its tokens: so tokens cancel,
     documents of one membership get one rate whatever their length, and the domains' Gram matrix is all there is to
@@ -144,6 +144,7 @@ def fitted_steps(members: DataFrame, targets: Sequence[float], total: float | No
         return []
     gram = np.array([[first[f"g{i}{j}"] for j in kinds] for i in kinds])
     wanted = np.array(targets, float) / sum(targets) * float(first["all"] if total is None else total)
+    wanted[0] *= lead
     if most is not None:
         # What is not there cannot be asked for, but in the leading domain, whose rates it holds at the bound.
         here = np.array([first[f"n{k}"] for k in kinds])
@@ -197,16 +198,22 @@ def mixed(documents: DataFrame, labels: DataFrame, targets: Sequence[float] = TA
         "doc_id", "tokens", *[F.col("posteriors")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate")
 
 
+def thinned_steps(members: DataFrame, targets: Sequence[float]) -> list[tuple[np.ndarray, float]]:
+    """The steps of a mixture by thinning. The leading domain's wanted tokens are set a little beyond what it holds, so
+    that its documents keep rate 1; the others' are set to their shares of what it does hold."""
+    clean = members.agg(F.coalesce(F.sum(F.col("posteriors")[0] * F.col("tokens")), F.lit(0.0))).first()[0]
+    return fitted_steps(members, targets, clean * sum(targets) / targets[0], 1.0, steps=STEPS // 2, lead=1.05)
+
+
 def drawn(documents: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
     """One pass over the mixture: each document stays with its rate, 1 at most, as probability, drawn by a hash of
     its id and text. It has the documents' own columns.
 
-    The wanted total is set beyond what the first domain holds, so its documents keep rate 1 and the mixture is
-    reached by thinning the others."""
+    Documents of the first domain keep rate 1, and the mixture is reached by thinning the others as far as posteriors
+    tell the domains apart: what a document of the first domain holds of another is not thinned."""
     model = fit(documents, labelled_domains(labels))
     held = staged(memberships(documents, model, keep=[]), "memberships")
-    clean = held.agg(F.coalesce(F.sum(F.col("posteriors")[0] * F.col("tokens")), F.lit(0.0))).first()[0]
-    history = fitted_steps(held, targets, 1.25 * clean * sum(targets) / targets[0], 1.0, steps=STEPS // 2)
+    history = thinned_steps(held, targets)
     own = [F.col(f"`{c}`") for c in documents.columns]
     named = documents.select(F.struct(*own).alias("_own"), "text", "doc_id")
     rated = with_rates(memberships(named, model, keep=["_own", "text", "doc_id"]), history, 1.0)

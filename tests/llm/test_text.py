@@ -218,6 +218,35 @@ def test_mixing_steps_equal_plain_projected_gradient(spark):
     assert np.abs(found - rate).max() < 0.02
 
 
+def test_thinned_mixture_has_its_shares(spark):
+    draw = np.random.default_rng(8)
+    domain = draw.choice(3, 3000, p=(0.8, 0.12, 0.08))
+    logits = draw.normal(0, 1.5, (3000, 3))
+    logits[np.arange(3000), domain] += 12
+    shares = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    tokens = draw.integers(20, 400, 3000)
+    members = spark.createDataFrame(
+        [(i, int(t), p.tolist()) for i, (t, p) in enumerate(zip(tokens, shares, strict=True))], "doc_id int, tokens long, posteriors array<double>")
+    history = mixing.thinned_steps(members, mixing.TARGETS)
+    rates = np.array([r.rate for r in mixing.with_rates(members, history, 1.0).orderBy("doc_id").collect()])
+    total = (shares * (tokens * rates)[:, None]).sum(axis=0)
+    assert np.abs(total / total.sum() - mixing.TARGETS).max() < 1e-3
+    assert rates[domain == 0].mean() > 0.995
+
+
+def test_drawn_mixture_has_its_shares(spark):
+    draw = np.random.default_rng(9)
+    domain = draw.choice(3, 2500, p=(0.8, 0.12, 0.08))
+    texts = [(i, " ".join(f"{'cfp'[d]}{w}" for w in draw.integers(0, 40, 30))) for i, d in enumerate(domain.tolist())]
+    labels = spark.createDataFrame(
+        [(i, int(d != 2), int(d == 1)) for i, d in enumerate(domain.tolist())], "doc_id long, quality int, toxic int")
+    counts = np.bincount([domain[r.doc_id] for r in mixing.drawn(cases.documents(spark, texts), labels).collect()], minlength=3)
+    wanted = np.array(mixing.TARGETS) / mixing.TARGETS[0] * counts[0]
+    # Each is drawn by chance: three standard deviations.
+    assert counts[0] >= 0.99 * np.count_nonzero(domain == 0)
+    assert (np.abs(counts - wanted)[1:] <= 3 * np.sqrt(wanted[1:])).all()
+
+
 def test_drawn_keeps_clean_documents(spark):
     docs, labels = labelled(spark)
     table = cases.documents(spark, docs)
