@@ -43,7 +43,8 @@ TARGETS = (0.96, 0.03, 0.01)
 
 
 def word_buckets(data: np.ndarray) -> np.ndarray:
-    """Distinct buckets of a text's words, word pairs, and three marks of its form."""
+    """Distinct buckets of a text's words, one mark for a word repeated at once, and three marks of its form. Other word
+    pairs are not used."""
     words = word_hashes(data)
     if not len(words):
         return np.zeros(0, np.int64)
