@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapledger.llm import chains, count_trees, cross_polytope, minmax, mixing, piece_transducer, private, quality, repeats, rotation_codes, statements
+from mapledger.llm import (
+    chains,
+    count_trees,
+    cross_polytope,
+    minmax,
+    mixing,
+    piece_transducer,
+    prefix_trie,
+    private,
+    quality,
+    repeats,
+    rotation_codes,
+    statements,
+)
 from mapledger.llm.steps import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +66,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,6 +87,7 @@ Q: dict[str, Query] = {
     "op8_count_trees": op8_count_trees,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_mixing": op10_mixing,
+    "op11_prefix_trie": op11_prefix_trie,
     "pipeline": pipeline,
 }
 
@@ -77,4 +95,5 @@ SQL: dict[str, str] = {
     "op1_rotation_codes": statements.ROTATION_CODES,
     "op2_repeats": statements.REPEATS,
     "op3_minmax": statements.MINMAX,
+    "op11_prefix_trie": statements.PREFIX_TRIE,
 }

@@ -60,3 +60,45 @@ select d.doc_id, coalesce(s.n, 0) as n_shingles, least(d.doc_id, coalesce(c.leas
   d.doc_id <= coalesce(c.least, d.doc_id) as kept
 from documents d left join sizes s on s.doc_id = d.doc_id left join classes c on c.a = d.doc_id
 """
+
+#: Every node's key is the row of its turns' digests, so that an ancestor's key is a prefix of it.
+PREFIX_TRIE = r"""
+WITH table_of_crc AS (
+  SELECT list(v ORDER BY n) AS t FROM (
+    SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, _ : CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+    FROM range(256) AS r(n))),
+ids AS (SELECT conv_id AS c, count(*) AS n FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+shares AS (
+  SELECT c, n, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x : ascii(x)::BIGINT)),
+      lambda s, b : xor(s // 256, t[1 + (xor(s, b) & 255)])), 4294967295) % 4 AS h
+  FROM ids, table_of_crc),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos,
+    md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+lent AS (SELECT c, pos, digest, words FROM shares JOIN turns ON conv_id = c - c % 20 AND pos <= h),
+rebuilt AS (
+  SELECT c, pos, digest, words FROM lent UNION ALL
+  SELECT c, pos - h + coalesce(k, 0), digest, words FROM shares JOIN turns ON conv_id = c AND pos > h
+  LEFT JOIN (SELECT c, count(*) AS k FROM lent GROUP BY 1) USING (c)),
+rows_of AS (SELECT c, list(digest ORDER BY pos) AS l FROM rebuilt GROUP BY 1),
+paths AS (
+  SELECT r.c, pos AS d, words, array_to_string(list_slice(l, 1, pos), '') AS k, pos = len(l) AS is_end
+  FROM rebuilt r JOIN rows_of USING (c)
+  UNION ALL SELECT c, 0, 0, '', c NOT IN (SELECT c FROM rows_of) FROM ids),
+nodes AS (
+  SELECT k, d, min(c) AS c, count(*) AS n, any_value(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE is_end), '')) AS ends
+  FROM paths GROUP BY 1, 2),
+children AS (SELECT left(k, 32 * (d - 1)) AS k, count(*) AS m FROM nodes WHERE d > 0 GROUP BY 1),
+own AS (SELECT nodes.*, coalesce(m, 0) AS m FROM nodes LEFT JOIN children USING (k)),
+sums AS (
+  SELECT left(k, 32 * a) AS k, sum(CASE WHEN m = 0 THEN 1 ELSE 0 END) AS leaves, sum((n - 1) * words) AS saved
+  FROM (SELECT own.*, unnest(range(d + 1)) AS a FROM own) GROUP BY 1)
+SELECT o.c AS conv_id, o.d::BIGINT AS depth, p.c AS parent_conv_id, o.n::BIGINT AS n_convs, o.m::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, o.ends AS ends_sha256
+FROM own o JOIN sums USING (k) LEFT JOIN own p ON o.d > 0 AND p.k = left(o.k, 32 * (o.d - 1))
+"""
