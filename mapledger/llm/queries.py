@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapledger.llm import (
+    alignment,
     chains,
     count_trees,
     cross_polytope,
     minmax,
     mixing,
+    pair_index,
     piece_transducer,
     prefix_trie,
     private,
@@ -70,6 +72,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_index.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.counted(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,6 +98,8 @@ Q: dict[str, Query] = {
     "op9_cross_polytope": op9_cross_polytope,
     "op10_mixing": op10_mixing,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_pair_index": op12_pair_index,
+    "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
 
