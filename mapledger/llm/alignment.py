@@ -21,12 +21,15 @@ as documents of their own. Document columns named like those added give way to t
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, Window
@@ -37,8 +40,8 @@ from mapledger.llm.pair_index import spread
 from mapledger.llm.steps import staged
 
 #: Bytes of text that are aligned at once, and that share one list of pairs.
-BLOCK = 1 << 21
-SCOPE = 1 << 25
+BLOCK = 1 << 20
+SCOPE = 1 << 23
 
 
 class Pieces:
@@ -46,18 +49,38 @@ class Pieces:
 
     def __init__(self, path: str) -> None:
         self._model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = []
+        pieces, inner = [], re.compile("[^▁]▁")
         for i in range(self._model.get_piece_size()):
             piece = self._model.id_to_piece(i)
+            if inner.search(piece):
+                raise ValueError(f"a piece holds a space behind another sign: {piece}")
             pieces.append(bytes([int(piece[3:5], 16)]) if self._model.is_byte(i) else piece.replace("▁", " ").encode())
         self.sizes = np.array([len(p) for p in pieces], np.int64)
         self._flat = np.frombuffer(b"".join(pieces), np.uint8)
         self._at = np.cumsum(self.sizes) - self.sizes
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lists = self._model.encode(texts, num_threads=1)
-        return (np.concatenate([np.array(ids, np.int32) for ids in lists] or [np.zeros(0, np.int32)]),
-                np.array([len(ids) for ids in lists], np.int64))
+        self._space = self._model.piece_to_id("▁")
+        self.remembered = pair_index.Remembered(self._words)
+
+    def encode(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, which begin at places of joined bytes with a space each, and how many each has.
+
+        No piece holds a space behind another sign (`Pieces` checks it), so a text parts before every run of spaces,
+        and equal words are encoded once. The model adds a word's first space."""
+        parts = data == 0x20
+        parts[1:] &= data[:-1] != 0x20
+        parts[starts] = True
+        words = np.flatnonzero(parts)
+        ids, counts = self.remembered.encode(data, words, np.append(words[1:], len(data)))
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        return ids, np.diff(upto[np.searchsorted(words, np.append(starts, len(data)))])
+
+    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        whole = data.tobytes()
+        words = [whole[s + 1 : e].decode() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        # A lone space is the word that the model would leave empty.
+        lists = [ids or [self._space] for ids in self._model.encode(words, num_threads=1)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int32, int(counts.sum())), counts
 
     def bytes_of(self, ids: np.ndarray) -> np.ndarray:
         return self._flat[spread(self._at[ids], self.sizes[ids])]
@@ -85,9 +108,10 @@ class Aligned:
 def components(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The group of each token of both sides, from the tokens' ends over the same bytes, by pointer jumping."""
     n = len(ends_a)
-    over_a = np.searchsorted(ends_b, ends_a)
-    over_b = np.searchsorted(ends_a, ends_b)
-    ahead = np.concatenate((np.where(ends_b[over_a] > ends_a, n + over_a, np.arange(n)), over_b)) if n else np.zeros(0, np.int64)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    over_a, over_b = _ended(ends_b)[ends_a - 1], _ended(ends_a)[ends_b - 1]
+    ahead = np.concatenate((np.where(ends_b[over_a] > ends_a, n + over_a, np.arange(n)), over_b))
     while True:
         further = ahead[ahead]
         if np.array_equal(further, ahead):
@@ -98,6 +122,13 @@ def components(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
     return label[ahead[:n]], label[ahead[n:]]
 
 
+def _ended(ends: np.ndarray) -> np.ndarray:
+    """How many tokens end at or before each place: the number of the token over the byte there."""
+    marks = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int32)
+    marks[ends] = 1
+    return np.cumsum(marks, dtype=np.int32)
+
+
 def _same(octets: np.ndarray, sizes: np.ndarray, plain: list[bytes]) -> np.ndarray:
     """Which texts the joined bytes of their tokens give back."""
     ends = np.cumsum(sizes)
@@ -107,15 +138,18 @@ def _same(octets: np.ndarray, sizes: np.ndarray, plain: list[bytes]) -> np.ndarr
 class Aligner:
     def __init__(self, path_a: str, path_b: str) -> None:
         self._vocabulary = pair_index.vocabulary(path_a)
-        self._encoder = pair_index.Encoder(self._vocabulary, specials=False)
+        self._encoder = pair_index.encoder(path_a, specials=False)
         self._pieces = pieces(path_b)
 
     def align(self, texts: list[str | None]) -> Aligned:
         used = [t for t in texts if t]
         plain = [b" " + t.encode() for t in used]
+        joined = b"".join(plain)
+        sizes = np.fromiter(map(len, plain), np.int64, len(plain))
+        data = np.frombuffer(joined, np.uint8)
         sides = []
         for ids, counts, table in ((*self._encoder.encode([f" {t}" for t in used]), self._vocabulary),
-                                   (*self._pieces.encode(used), self._pieces)):
+                                   (*self._pieces.encode(data, np.cumsum(sizes) - sizes), self._pieces)):
             upto = np.concatenate(([0], np.cumsum(table.sizes[ids])))
             place = np.concatenate(([0], np.cumsum(counts)))
             sides.append((ids, counts, _same(table.bytes_of(ids), np.diff(upto[place]), plain)))
@@ -128,10 +162,11 @@ class Aligner:
             total[present] = np.where(good, counts, 0)
             totals.append(total)
         ends_a, ends_b = np.cumsum(self._vocabulary.sizes[ids[0]]), np.cumsum(self._pieces.sizes[ids[1]])
-        # Both are ascending, and a stable sort merges two ascending runs.
-        cuts = np.sort(np.concatenate((ends_a, ends_b)), kind="stable")
-        cuts = cuts[np.append(cuts[1:] != cuts[:-1], True)] if len(cuts) else cuts
-        return Aligned(*ids, *totals, *components(ends_a, ends_b), np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts))
+        # Every stretch between two ends, of either side, is the overlap of one pair.
+        cut = np.zeros(int(ends_a[-1]) + 1 if len(ends_a) else 1, bool)
+        cut[ends_a] = cut[ends_b] = True
+        cuts = np.flatnonzero(cut) - 1
+        return Aligned(*ids, *totals, *components(ends_a, ends_b), _ended(ends_a)[cuts], _ended(ends_b)[cuts])
 
 
 def _blocks(texts: list[str | None], bound: int) -> Iterator[slice]:
@@ -147,12 +182,21 @@ def _blocks(texts: list[str | None], bound: int) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+@lru_cache(maxsize=1)
+def _digits() -> tuple[np.ndarray, np.ndarray]:
+    """Six bytes for every id, its decimal digits before a place for a mark, and which of them count."""
+    ids = np.arange(1 << 16)
+    width = 1 + sum((ids >= 10**k).astype(np.int64) for k in (1, 2, 3, 4))
+    digits = np.stack([ids // 10**k % 10 + 48 for k in (4, 3, 2, 1, 0)] + [0 * ids], axis=1).astype(np.uint8)
+    return digits, np.arange(6) >= (5 - width)[:, None]
+
+
 def _decimals(ids: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each id in decimal and its mark, as bytes one after the other, and the width of each."""
-    digits = np.stack([ids // 10**k % 10 for k in (4, 3, 2, 1, 0)], axis=1).astype(np.uint8) + 48
-    width = 1 + sum((ids >= 10**k).astype(np.int64) for k in (1, 2, 3, 4))
-    rows = np.concatenate((digits, marks.astype(np.uint8)[:, None]), axis=1)
-    return rows[np.arange(6) >= (5 - width)[:, None]], width + 1
+    digits, counts = _digits()
+    rows, used = digits[ids], counts[ids]
+    rows[:, 5] = marks
+    return rows[used], used.sum(axis=1)
 
 
 def group_lines(found: Aligned) -> list[bytes]:
@@ -162,7 +206,7 @@ def group_lines(found: Aligned) -> list[bytes]:
     part = side[order]
     closes = np.append(part[1:] != part[:-1], True) if len(part) else np.zeros(0, bool)
     marks = np.where(closes, np.where(part % 2 == 0, ord("|"), ord(";")), ord(","))
-    octets, widths = _decimals(np.concatenate((found.a, found.b))[order].astype(np.int64), marks)
+    octets, widths = _decimals(np.concatenate((found.a, found.b))[order], marks)
     upto = np.concatenate(([0], np.cumsum(widths)))
     ends = upto[np.cumsum(found.counts_a + found.counts_b)]
     line = octets.tobytes()
@@ -198,7 +242,11 @@ class _Scope:
         n = len(texts)
         doc_of = np.repeat(np.arange(n), found.counts_a)
         link_doc = doc_of[found.link_a]
-        keys, which = np.unique(found.a[found.link_a].astype(np.int64) << 16 | found.b[found.link_b], return_inverse=True)
+        which, keys = pd.factorize(found.a[found.link_a].astype(np.int64) << 16 | found.b[found.link_b])
+        order = np.argsort(keys)
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.arange(len(keys))
+        keys, which = keys[order], place[which]
         size = max(len(keys), 1)
         own, times = np.unique(link_doc * size + which, return_counts=True)
         own_doc, own_pair = own // size, own % size

@@ -5,7 +5,7 @@ laid side by side. The index maps the rank of each adjacent pair to all places w
 in ascending order; one rank merges all its places, takes the neighbouring pairs out of their lists (a place whose pair
 has changed since is passed over) and adds the new pairs to theirs. A pair made by a merge always has a later rank,
 which `Vocabulary` checks, so one ascending pass settles the whole block. Encoded pre-tokens are remembered from block
-to block of a task, up to `KNOWN` bytes of them.
+to block in a worker, up to `KNOWN` bytes of them.
 
 Blocks hold `BLOCK` characters; a longer text is cut before a run of white space, where pre-tokens always part. Memory
 is bounded by a text and a block. Every row is encoded by itself, without an exchange.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -33,7 +33,7 @@ from tokenizers import Regex, normalizers
 from mapledger.llm.textbytes import mix, slice_hashes
 
 BLOCK = 1 << 20
-KNOWN = 1 << 24
+KNOWN = 1 << 25
 LETTER, NUMBER, OTHER, WHITE = range(4)
 #: Stands between pre-tokens; no pair holds it.
 BORDER = 0xFFFF
@@ -192,15 +192,20 @@ class Vocabulary:
                 after[place], before[beyond] = beyond, place
                 now[right] = -1
                 gone.append(right)
-                for at, key in ((place, new << 16 | symbols[beyond]), (ahead, symbols[ahead] << 16 | new)):
-                    pair = rank_of(key, -1)
-                    now[at] = pair
-                    if pair >= 0:
-                        if pair in index:
-                            index[pair].append(at)
-                        else:
-                            index[pair] = [at]
-                            heappush(heap, pair)
+                pair = now[place] = rank_of(new << 16 | symbols[beyond], -1)
+                if pair >= 0:
+                    if pair in index:
+                        index[pair].append(place)
+                    else:
+                        index[pair] = [place]
+                        heappush(heap, pair)
+                pair = now[ahead] = rank_of(symbols[ahead] << 16 | new, -1)
+                if pair >= 0:
+                    if pair in index:
+                        index[pair].append(ahead)
+                    else:
+                        index[pair] = [ahead]
+                        heappush(heap, pair)
         inner[gone] = False
         kept = np.array(symbols, np.int64)
         counts = np.diff(np.append(np.cumsum(inner)[borders], int(inner.sum())))
@@ -213,6 +218,55 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
 
 
+class Remembered:
+    """Ids of slices of bytes that were encoded before, by two hashes, up to `KNOWN` bytes of them."""
+
+    def __init__(self, encode: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> None:
+        self._encode = encode
+        self._forget()
+
+    def _forget(self) -> None:
+        self._keys, self._checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self._starts, self._counts, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    @property
+    def nbytes(self) -> int:
+        return self._ids.nbytes + 32 * len(self._keys)
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of slices, one slice after the other, and how many each has; equal slices are encoded once."""
+        keys = slice_hashes(data, starts, ends)
+        checks = slice_hashes(mix(data.astype(np.uint64) + SECOND), starts, ends)
+        order = np.argsort(keys)
+        new = np.ones(len(order), bool)
+        new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+        distinct = order[new]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        at = np.minimum(np.searchsorted(self._keys, keys[distinct]), max(len(self._keys) - 1, 0))
+        known = np.zeros(len(distinct), bool)
+        if len(self._keys):
+            known = (self._keys[at] == keys[distinct]) & (self._checks[at] == checks[distinct])
+        fresh = distinct[~known]
+        ids, counts = self._encode(data, starts[fresh], ends[fresh])
+        word_starts, word_counts = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+        if known.any():
+            word_starts[known], word_counts[known] = self._starts[at[known]], self._counts[at[known]]
+        word_starts[~known] = len(self._ids) + np.cumsum(counts) - counts
+        word_counts[~known] = counts
+        store = np.concatenate((self._ids, ids))
+        flat = store[spread(word_starts[which], word_counts[which])]
+        if store.nbytes + 32 * (len(self._keys) + len(fresh)) > KNOWN:
+            self._forget()
+        else:
+            held = [np.concatenate(p) for p in (
+                (self._keys, keys[fresh]), (self._checks, checks[fresh]), (self._starts, word_starts[~known]), (self._counts, counts))]
+            order = np.argsort(held[0], kind="stable")
+            self._keys, self._checks, self._starts, self._counts = (h[order] for h in held)
+            self._ids = store
+        return flat, word_counts[which]
+
+
 class Encoder:
     """Encodes texts block by block and remembers pre-tokens in between."""
 
@@ -221,11 +275,7 @@ class Encoder:
         self._classes = Classes()
         contents = sorted(vocabulary.specials, key=len, reverse=True) if specials else []
         self._special = re.compile("|".join(map(re.escape, contents))) if contents else None
-        self._forget()
-
-    def _forget(self) -> None:
-        self._keys, self._checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self._starts, self._counts, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.remembered = Remembered(vocabulary.merge)
 
     def _pieces(self, texts: list[str | None]) -> Iterator[tuple[int, str, int | None]]:
         """(text number, part of the text, id if the part is a special token)."""
@@ -285,48 +335,11 @@ class Encoder:
         widths = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
         offsets = np.concatenate(([0], np.cumsum(widths)))
         data = np.frombuffer("".join(parts).encode(), np.uint8)
-        ids, counts = self._words(data, offsets[starts], offsets[np.append(starts[1:], len(points))])
+        ids, counts = self.remembered.encode(data, offsets[starts], offsets[np.append(starts[1:], len(points))])
         upto = np.concatenate(([0], np.cumsum(counts)))
         word_at = np.searchsorted(starts, np.append(opening, len(points)))
         return ids, np.diff(upto[word_at])
 
-    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of slices of bytes and how many each has; equal slices are merged once."""
-        keys = slice_hashes(data, starts, ends)
-        checks = slice_hashes(mix(data.astype(np.uint64) + SECOND), starts, ends)
-        order = np.argsort(keys, kind="stable")
-        new = np.ones(len(order), bool)
-        new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
-        distinct = order[new]
-        which = np.empty(len(order), np.int64)
-        which[order] = np.cumsum(new) - 1
-        at = np.searchsorted(self._keys, keys[distinct])
-        inside = np.minimum(at, max(len(self._keys) - 1, 0))
-        known = np.zeros(len(distinct), bool)
-        if len(self._keys):
-            known = (self._keys[inside] == keys[distinct]) & (self._checks[inside] == checks[distinct])
-        fresh = distinct[~known]
-        ids, counts = self.vocabulary.merge(data, starts[fresh], ends[fresh])
-        word_starts, word_counts = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
-        if known.any():
-            word_starts[known], word_counts[known] = self._starts[inside[known]], self._counts[inside[known]]
-        word_starts[~known] = len(self._ids) + np.cumsum(counts) - counts
-        word_counts[~known] = counts
-        store = np.concatenate((self._ids, ids))
-        flat = store[spread(word_starts[which], word_counts[which])]
-        self._remember(keys[fresh], checks[fresh], word_starts[~known], counts, store)
-        return flat, word_counts[which]
-
-    def _remember(self, keys: np.ndarray, checks: np.ndarray, starts: np.ndarray, counts: np.ndarray, store: np.ndarray) -> None:
-        if store.nbytes + 32 * (len(self._keys) + len(keys)) > KNOWN:
-            self._forget()
-            return
-        held = [np.concatenate(p) for p in (
-            (self._keys, keys), (self._checks, checks), (self._starts, starts), (self._counts, counts))]
-        order = np.argsort(held[0], kind="stable")
-        self._keys, self._checks, self._starts, self._counts = (h[order] for h in held)
-        self._ids = store
-
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement signs."""
         return self.vocabulary.bytes_of(ids).tobytes().decode("utf-8", "replace")
@@ -337,6 +350,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, specials: bool = True) -> Encoder:
+    """The encoder of a worker process; what it remembers is bounded, and tasks to come use it too."""
+    return Encoder(vocabulary(path), specials)
+
+
 def default_path() -> str:
     """The byte-level vocabulary among the installed public tokenizers; the same on every executor."""
     import public_tokenizers
@@ -350,7 +369,7 @@ def encoded(documents: DataFrame, path: str | None = None, specials: bool = True
 
     @F.arrow_udf("struct<ids: array<int>, decoded: string>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held = Encoder(vocabulary(path), specials)
+        held = encoder(path, specials)
         for texts in batches:
             ids, counts = held.encode(texts.to_pylist())
             places = np.concatenate(([0], np.cumsum(counts)))

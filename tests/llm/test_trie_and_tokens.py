@@ -166,7 +166,7 @@ def test_remembered_words_are_bounded_and_change_nothing(library, monkeypatch):
     held = pair_index.Encoder(pair_index.vocabulary(pair_index.default_path()))
     ids, _ = held.encode(texts)
     assert ids.tolist() == [i for e in library.encode_batch(texts, add_special_tokens=False) for i in e.ids]
-    assert held._ids.nbytes <= 4000
+    assert held.remembered.nbytes <= 4000
 
 
 def test_digests_of_tokens(spark, library):
