@@ -1,13 +1,18 @@
-"""Dataset identifiers: components, publisher form, item addresses."""
+"""Dataset identifiers: components, publisher form, item addresses.
+
+Component names are given as text, or as an array column where each row has its own. Functions that need the components
+take them as ``parts`` too, so that a caller can split an identifier once and use it often.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mapledger.functions.text import after_first, basename, json_string
+from mapledger.functions.text import after_first, basename, json_string, needs_escape
 from mapledger.schemas import DRS_FIELDS
 
 Names = Sequence[str] | Column
@@ -29,9 +34,10 @@ def components(dataset_id: Column, names: Names) -> Column:
     return F.when(one_short, expanded).otherwise(raw)
 
 
-def components_error(dataset_id: Column, names: Names) -> Column:
+def components_error(dataset_id: Column, names: Names, parts: Column | None = None) -> Column:
     """Message when the component count does not fit the identifier specification."""
-    found, wanted = F.size(components(dataset_id, names)), F.size(_name_array(names))
+    parts = components(dataset_id, names) if parts is None else parts
+    found, wanted = F.size(parts), F.size(_name_array(names))
     # Fixed value: message format.
     text = F.format_string(
         "Unexpected DRS format: dataset ID contains %d components, but ESGVOC defines %d DRS components: %s",
@@ -40,9 +46,9 @@ def components_error(dataset_id: Column, names: Names) -> Column:
     return F.when(found != wanted, text)
 
 
-def drs_pairs(dataset_id: Column, names: Names) -> Column:
+def drs_pairs(dataset_id: Column, names: Names, parts: Column | None = None) -> Column:
     """Ordered (name, value) structs; a repeated name keeps its last value. Null when the count is wrong."""
-    arr, parts = _name_array(names), components(dataset_id, names)
+    arr, parts = _name_array(names), components(dataset_id, names) if parts is None else parts
     if isinstance(names, Column):
         last_first = F.reverse(arr)
         pairs = F.transform(
@@ -62,13 +68,26 @@ def drs_map(dataset_id: Column, names: Names) -> Column:
     return F.map_from_entries(drs_pairs(dataset_id, names))
 
 
-def drs_json(dataset_id: Column, names: Names) -> Column:
+def drs_json(dataset_id: Column, names: Names, parts: Column | None = None) -> Column:
     """The component mapping as JSON text, in specification order."""
+    if parts is None:
+        # A lambda variable holds the components, which are then split once.
+        split = F.array(components(dataset_id, names))
+        return F.get(F.transform(split, lambda own: drs_json(dataset_id, names, own)), 0)
     members = F.transform(
-        drs_pairs(dataset_id, names),
+        drs_pairs(dataset_id, names, parts),
         lambda p: F.concat(json_string(p["name"]), F.lit(": "), json_string(p["value"])),
     )
-    return F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+    escaped = F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+    if isinstance(names, Column):
+        return escaped
+    # Names are escaped while planning, and an identifier of plain characters needs no escape at all.
+    place = {name: i for i, name in enumerate(names)}
+    texts: list[Column] = []
+    for k, (name, i) in enumerate(place.items()):
+        texts += [F.lit(("{" if k == 0 else '", ') + f'{json.dumps(name)}: "'), F.get(parts, i)]
+    plain = F.when(F.size(parts) == len(names), F.concat(*texts, F.lit('"}')) if texts else F.lit("{}"))
+    return F.when(~needs_escape(dataset_id), plain).otherwise(escaped)
 
 
 def drs_prefix(dataset_id: Column, depth: str, names: Names = DRS_FIELDS) -> Column:
@@ -115,10 +134,10 @@ def _quoted_list(items: Column) -> Column:
 
 def archive_destination(
     dataset_id: Column, mapfile: Column, project: Column, activity: Column, institution: Column,
-    archive_root: Column, archive_depth: Column, names: Names,
+    archive_root: Column, archive_depth: Column, names: Names, parts: Column | None = None,
 ) -> tuple[Column, Column]:
     """Archive path of a mapfile and, where there is none, the reason."""
-    arr, parts = _name_array(names), components(dataset_id, names)
+    arr, parts = _name_array(names), components(dataset_id, names) if parts is None else parts
     found = F.slice(parts, 1, 3)
     expected = F.array(project, activity, institution)
     tail_names = F.slice(arr, F.lit(4), F.greatest(F.size(arr) - F.lit(3), F.lit(0)))
@@ -126,7 +145,7 @@ def archive_destination(
     kept = F.filter(F.slice(parts, F.lit(4), upto), lambda x: x != "")
     # Message formats.
     error = F.coalesce(
-        components_error(dataset_id, names),
+        components_error(dataset_id, names, parts),
         F.when(archive_root.isNull(), F.lit("Campaign has no archive root")),
         F.when(
             found != expected,

@@ -54,8 +54,13 @@ def _escape_code_point(ch: Column) -> Column:
     ).otherwise(ch)
 
 
+def needs_escape(text: Column) -> Column:
+    """Whether JSON text of a string differs from it."""
+    return text.rlike(r'[^ !#-\[\]-~]')
+
+
 def json_string(text: Column) -> Column:
-    """A quoted ASCII-only JSON string; rare characters take the slow branch only where they occur."""
+    """A quoted ASCII-only JSON string; rare characters take the slow branches only where they occur."""
     out = text
     for raw, escaped in (
         ("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"),
@@ -66,7 +71,7 @@ def json_string(text: Column) -> Column:
     out = F.when(
         out.rlike(r"[^ -~]"), F.array_join(F.transform(points, _escape_code_point), "")
     ).otherwise(out)
-    return F.concat(F.lit('"'), out, F.lit('"'))
+    return F.concat(F.lit('"'), F.when(~needs_escape(text), text).otherwise(out), F.lit('"'))
 
 
 def json_value(col: Column, dtype: T.DataType) -> Column:

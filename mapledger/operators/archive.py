@@ -11,6 +11,7 @@ from mapledger import schemas
 from mapledger.functions import ids
 from mapledger.operators import selections
 from mapledger.operators.publication import updated
+from mapledger.operators.specs import Spec, with_components
 
 # Counters of an import and of an execution run.
 IMPORT_LABELS = (
@@ -19,18 +20,20 @@ IMPORT_LABELS = (
 RUN_LABELS = ("WOULD_ARCHIVE", "SUCCESS", "ALREADY_EXISTS", "CONFLICT", "FAILED")
 
 
-def with_paths(datasets: DataFrame, campaigns: DataFrame, names: ids.Names) -> DataFrame:
-    """Datasets (dataset_id, campaign, mapfile, ...) with archive_path and path_error."""
+def with_paths(datasets: DataFrame, campaigns: DataFrame, names: Spec) -> DataFrame:
+    """Datasets (dataset_id, campaign, mapfile, ...) with archive_path and path_error; the names of a campaign's
+    project count where ``names`` is a table (project, names)."""
     c = campaigns.select(
         F.col("name").alias("campaign"), F.col("project").alias("_project"), F.col("activity").alias("_activity"),
         F.col("institution").alias("_institution"), "archive_root", "archive_depth",
     )
-    j = datasets.join(c, "campaign", "left")
+    j, own, missing = with_components(datasets.join(c, "campaign", "left"), names, "_project")
     path, error = ids.archive_destination(
         F.col("dataset_id"), F.col("mapfile"), F.col("_project"), F.col("_activity"), F.col("_institution"),
-        F.col("archive_root"), F.col("archive_depth"), names,
+        F.col("archive_root"), F.col("archive_depth"), own, F.col("_parts"),
     )
-    return j.select(*datasets.columns, path.alias("archive_path"), error.alias("path_error"))
+    return j.select(
+        *datasets.columns, F.when(missing.isNull(), path).alias("archive_path"), F.coalesce(missing, error).alias("path_error"))
 
 
 def blockers(checks: DataFrame) -> DataFrame:
@@ -53,7 +56,7 @@ def blocker_examples(checks: DataFrame, campaign: str | None = None, limit: int
 
 
 def planned_tasks(
-    datasets: DataFrame, campaigns: DataFrame, names: ids.Names, now: dt.datetime,
+    datasets: DataFrame, campaigns: DataFrame, names: Spec, now: dt.datetime,
     checks: DataFrame | None = None, fingerprints: DataFrame | None = None,
     campaign: str | None = None, limit: int | None = None, id_expr: Column | None = None,
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from mapledger import schemas
 from mapledger.functions import ids, mapfile
 from mapledger.functions.once import with_once
 from mapledger.functions.text import strip
+from mapledger.operators.specs import Spec, with_components
 
 
 def parsed_lines(lines: DataFrame, keep_blank: bool = False) -> DataFrame:
@@ -104,19 +105,21 @@ def file_rows(lines: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
 
 
 def registration_changes(
-    scan: DataFrame, fingerprints: DataFrame, campaign_roots: DataFrame, names: ids.Names
+    scan: DataFrame, fingerprints: DataFrame, campaign_roots: DataFrame, names: Spec
 ) -> DataFrame:
     """Scan rows with campaign columns, components and checksum; error rows keep their reason.
 
     ``fingerprints`` has (mapfile, mapfile_checksum); ``campaign_roots`` has (mapfile,
-    campaign, project, activity, institution).
+    campaign, project, activity, institution). ``names`` are the component names of all
+    identifiers, or a table (project, names).
     """
     rows = scan.join(fingerprints, "mapfile", "left").join(campaign_roots, "mapfile", "left")
-    dataset_id = F.col("dataset_id")
+    rows, own, missing = with_components(rows, names, "project")
+    dataset_id, parts = F.col("dataset_id"), F.col("_parts")
     return rows.select(
         "dataset_id", "campaign", "project", "activity", "institution",
-        ids.drs_json(dataset_id, names).alias("drs"), "mapfile", "mapfile_checksum",
-        F.coalesce(F.col("error"), ids.components_error(dataset_id, names)).alias("error"),
+        ids.drs_json(dataset_id, own, parts).alias("drs"), "mapfile", "mapfile_checksum",
+        F.coalesce(F.col("error"), missing, ids.components_error(dataset_id, own, parts)).alias("error"),
     )
 
 

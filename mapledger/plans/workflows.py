@@ -11,10 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapledger.functions import ids
 from mapledger.operators import (
     archive, batching, publication, reconcile, registration, reports, restore, selections, sync,
 )
+from mapledger.operators.specs import Spec
 from mapledger.session import cut_lineage
 
 
@@ -28,7 +28,7 @@ class Registration:
 
 def register(
     datasets: DataFrame, files: DataFrame, lines: DataFrame, fingerprints: DataFrame, campaign_roots: DataFrame,
-    names: ids.Names, now: dt.datetime, include_files: bool = False, allow_empty: bool = False,
+    names: Spec, now: dt.datetime, include_files: bool = False, allow_empty: bool = False,
     scanned: DataFrame | None = None,
 ) -> Registration:
     """Mapfile lines to new dataset and file state.
@@ -122,7 +122,7 @@ def reconcile_catalog(
 
 def plan_archive(
     datasets: DataFrame, campaigns: DataFrame, attempts: DataFrame, responses: DataFrame, base_url: str,
-    names: ids.Names, now: dt.datetime, verify: bool = True, campaign: str | None = None, limit: int | None = None,
+    names: Spec, now: dt.datetime, verify: bool = True, campaign: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Archive tasks; with ``verify`` a campaign with any unconfirmed dataset gets none.
 

@@ -9,7 +9,7 @@ from mapledger.operators import archive, reconcile, selections
 from mapledger.session import fresh_folder
 from mapledger.sinks import outputs
 from mapledger.sources import files as sources
-from registry.common import BASE_URL, NOW, NOW_TS, catalog_columns, set_columns
+from registry.common import BASE_URL, BY_PROJECT, NOW, NOW_TS, by_project, catalog_columns, project_specs, set_columns
 
 Q, SQL = {}, {}
 _NAMES = list(schemas.DRS_FIELDS)
@@ -37,6 +37,19 @@ _PATHS = """strayed as (select * replace (case o_orderkey % 7 when 0 then 'X' ||
 Q["archive_path"] = lambda c: archive.with_paths(_strayed(c).select("dataset_id", "campaign", "mapfile"), c.campaigns, _NAMES).drop("campaign")
 SQL["archive_path"] = f"with {_PATHS} select * from paths"
 
+Q["archive_path_by_project"] = lambda c: archive.with_paths(
+    by_project(c).select("dataset_id", "campaign", "mapfile"), c.campaigns, project_specs(c)).drop("campaign")
+SQL["archive_path_by_project"] = f"""with {BY_PROJECT},
+  placed as (select d.*, c.archive_root, case when c.archive_depth = 'experiment' then 5 else 8 end + case when d.project = 'CMIP6' then 0 else 1 end as upto
+    from parts d join campaigns c on c.name = d.campaign
+    union all select d.*, null, null from parts d where d.campaign not in (select name from campaigns))
+select dataset_id, mapfile, case when campaign in (select name from campaigns) and len(p) = wanted and archive_root is not null
+    then archive_root || '/' || array_to_string(p[4:upto], '/') || '/.mapfiles/' || split_part(mapfile, '/', -1) end as archive_path,
+  case when campaign not in (select name from campaigns) then 'No identifier specification for project: None'
+    when len(p) <> wanted then 'Unexpected DRS format: dataset ID contains ' || len(p) || ' components, but ESGVOC defines ' || wanted || ' DRS components: ' || dataset_id
+    when archive_root is null then 'Campaign has no archive root' end as path_error
+from placed"""
+
 # ---- planning ----
 
 
@@ -74,15 +87,15 @@ _PLAN = f"""{_sql_checks()}, wanted as (select * from datasets where registratio
   planned as (select sha256(dataset_id || '|' || mapfile || '|' || coalesce(mapfile_checksum, 'late')) as task_id, dataset_id, campaign, coalesce(mapfile_checksum, 'late') as mapfile_checksum, mapfile as source_mapfile,
     case when archive_root is not null then archive_root || '/' || array_to_string(p[4:case archive_depth when 'experiment' then 5 else 8 end], '/') || '/.mapfiles/' || split_part(mapfile, '/', -1) end as archive_path,
     timestamp '{NOW}' as created_at, cast(null as timestamp) as completed_at, 'PENDING' as status, cast(null as varchar) as error_message,
-    case when archive_root is null then 'Campaign has no archive root' end as problem from open)"""
+    case when archive_root is null then 'Campaign has no archive root' end as problem, archive_root from open)"""
 
 Q["create_archive_tasks"] = _planned
-SQL["create_archive_tasks"] = f"with {_PLAN} select * from planned"
+SQL["create_archive_tasks"] = f"with {_PLAN} select * exclude (archive_root) from planned"
 
 
-def _export_tasks(c):
-    """Task file and task rows published together, read back from the file."""
-    tasks = _planned(c).filter(F.col("problem").isNull()).drop("problem")
+def _published_tasks(c, planned):
+    """Task file and task rows published together, read back from the file; none of them where any has a problem."""
+    tasks = archive.unless_refused(planned)
     written = outputs.publish_together(
         {"tasks.csv": archive.task_file(tasks), "tasks": tasks}, fresh_folder(c.spark, "tasks"), 1, NOW_TS)
     rows = sources.read_archive_tasks(c.spark, written["tasks.csv"]).drop("row_no")
@@ -90,8 +103,15 @@ def _export_tasks(c):
     return rows.join(table.select("task_id", "campaign"), "task_id")
 
 
-Q["export_archive_tasks"] = _export_tasks
-SQL["export_archive_tasks"] = f"with {_PLAN} select task_id, dataset_id, source_mapfile as mapfile, mapfile_checksum, archive_path, campaign from planned where problem is null"
+def _rooted(c):
+    """Tasks of campaigns that have an archive."""
+    return _planned(c).join(c.campaigns.where("archive_root IS NOT NULL").select(F.col("name").alias("campaign")), "campaign", "left_semi")
+
+
+Q["export_archive_tasks"] = lambda c: _published_tasks(c, _rooted(c))
+SQL["export_archive_tasks"] = f"with {_PLAN} select task_id, dataset_id, source_mapfile as mapfile, mapfile_checksum, archive_path, campaign from planned where archive_root is not null"
+Q["export_archive_refused"] = lambda c: _published_tasks(c, _planned(c)).agg(F.count(F.lit(1)).alias("n_tasks"))
+SQL["export_archive_refused"] = f"with {_PLAN} select case when count(problem) > 0 then 0 else count(*) end as n_tasks from planned"
 Q["archive_tasks_scan"] = lambda c: sources.read_archive_tasks(
     c.spark, outputs.write_csv(archive.task_file(c.archive_tasks), fresh_folder(c.spark, "tasks"), schemas.TASK_FIELDS)).drop("row_no")
 SQL["archive_tasks_scan"] = "select task_id, dataset_id, source_mapfile as mapfile, mapfile_checksum, archive_path from archive_tasks"

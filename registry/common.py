@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from mapledger.fixtures.projection import CLAIM_NOW, NOW
+from mapledger.schemas import DRS_FIELDS
 
 NOW_TS = dt.datetime.fromisoformat(NOW)
 CLAIM_TS = dt.datetime.fromisoformat(CLAIM_NOW)
@@ -19,6 +22,25 @@ DATASET_COLUMNS = (
     "archive_completed_at, stac_status, stac_checked_at, stac_http_status, registered_at"
 )
 
+#: Component names of two projects, one of which names one more.
+PROJECT_NAMES = [("CMIP6", list(DRS_FIELDS)), ("CMIP6Plus", [*DRS_FIELDS[:3], "subproject", *DRS_FIELDS[3:]])]
+
+
+def by_project(c):
+    """Datasets whose second project has a component more; some lack it, and some belong to a project without names."""
+    k = F.col("o_orderkey")
+    longer = F.regexp_replace("dataset_id", r"^((?:[^.]+\.){3})", "$1sub.")
+    return c.datasets.withColumn("dataset_id", F.when((F.col("project") == "CMIP6Plus") & (k % 9 != 0), longer).otherwise(F.col("dataset_id")))
+
+
+def project_specs(c):
+    return c.spark.createDataFrame(PROJECT_NAMES, "project string, names array<string>")
+
+
+BY_PROJECT = r"""own as (select * replace (case when project = 'CMIP6Plus' and o_orderkey % 9 <> 0 then regexp_replace(dataset_id, '^(([^.]+\.){3})', '\1sub.') else dataset_id end as dataset_id) from datasets),
+  cut as (select *, string_split(dataset_id, '.') as raw, case project when 'CMIP6' then 10 else 11 end as wanted from own),
+  parts as (select *, case when len(raw) = wanted - 1 then list_concat(raw[1:-2], [split_part(raw[-1], '#', 1), 'v' || split_part(raw[-1], '#', 2)]) else raw end as p from cut)"""
+
 
 def catalog_columns(df):
     """Only the catalog's own dataset columns, without the fixture's order key."""

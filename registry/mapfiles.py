@@ -11,7 +11,8 @@ from mapledger.operators import registration, validation
 from mapledger.plans import workflows
 from mapledger.sources import files as sources
 from registry.common import (
-    BASE_URL, MAPPINGS, NOW, NOW_TS, STRICT_MAPPINGS, catalog_columns, set_columns,
+    BASE_URL, BY_PROJECT, MAPPINGS, NOW, NOW_TS, PROJECT_NAMES, STRICT_MAPPINGS, by_project, catalog_columns, project_specs,
+    set_columns,
 )
 
 Q, SQL = {}, {}
@@ -246,6 +247,28 @@ _UPSERT = {
 Q["register_upsert"] = lambda c: registration.register_upsert(catalog_columns(c.datasets), _changes(c), NOW_TS)
 SQL["register_upsert"] = f"with {_CHANGES} select {set_columns(_UPSERT)} from datasets d full join changes c on c.dataset_id = d.dataset_id"
 
+
+
+def _changes_by_project(c):
+    own = by_project(c)
+    other = F.when(F.col("o_orderkey") % 50 == 3, F.lit("Elsewhere")).otherwise(F.col("project"))
+    scan = own.select("mapfile", "dataset_id", F.lit(1).cast("bigint").alias("n_files"), F.lit(None).cast("string").alias("error"))
+    roots = own.select("mapfile", "campaign", other.alias("project"), "activity", "institution")
+    return registration.registration_changes(scan, _prints(c), roots, project_specs(c)).select("dataset_id", "project", "drs", "mapfile_checksum", "error")
+
+
+def _members_sql(names) -> str:
+    return "'{' || " + " || ', ' || ".join(f"'\"{n}\": \"' || p[{i}] || '\"'" for i, n in enumerate(names, 1)) + " || '}'"
+
+
+Q["register_by_project"] = _changes_by_project
+SQL["register_by_project"] = f"""with {BY_PROJECT} select dataset_id, case when o_orderkey % 50 = 3 then 'Elsewhere' else project end as project,
+  case when o_orderkey % 50 = 3 or len(p) <> wanted then null when project = 'CMIP6' then {_members_sql(PROJECT_NAMES[0][1])} else {_members_sql(PROJECT_NAMES[1][1])} end as drs,
+  case when o_orderkey % 3 = 0 then 'edited' else coalesce(mapfile_checksum, 'first') end as mapfile_checksum,
+  case when o_orderkey % 50 = 3 then 'No identifier specification for project: Elsewhere'
+    when len(p) <> wanted then 'Unexpected DRS format: dataset ID contains ' || len(p) || ' components, but ESGVOC defines ' || wanted || ' DRS components: ' || dataset_id end as error
+from parts"""
+
 Q["replace_files"] = lambda c: registration.replace_files(
     c.files, c.files.filter(F.col("o_orderkey") % 3 == 0).withColumn("file_path", F.concat("file_path", F.lit(".2"))))
 SQL["replace_files"] = """select dataset_id, case when o_orderkey % 3 = 0 then file_path || '.2' else file_path end as file_path, file_size, checksum, mod_time from files"""
