@@ -29,9 +29,9 @@ def csv_form(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, fields: Sequence[str]) -> str:
     """Write a report with header; each task writes its own part."""
-    csv_form(df, fields).write.mode("errorifexists").option("header", "true").option("escape", '"').option(
-        "emptyValue", ""
-    ).csv(path)
+    # Texts keep the blanks at their ends.
+    csv_form(df, fields).write.mode("errorifexists").options(
+        header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return path
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from mapledger import schemas
 from mapledger.functions.text import basename
+from mapledger.sources import splits
 
 _LINE_BREAK = r"\r\n|\n|\r"
 
@@ -131,17 +132,19 @@ def missing_columns(found: Iterable[str], required: Iterable[str]) -> list[str]:
 def read_csv(spark: SparkSession, path: str, required: Iterable[str], multiline: bool = True) -> DataFrame:
     """A CSV with header, all columns text, plus ``row_no``: an ordering value in file order.
 
-    Quoted fields may hold line breaks, so each file is read by one task. Files known to
-    have none can be split over tasks (``multiline=False``); the order combines the position
-    of the split with the position inside it.
+    One file is read by many tasks, and quoted fields may hold line breaks (``splits.csv_records``). Files known to have
+    none are parsed by the reader itself (``multiline=False``).
     """
-    reader = spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multiline).lower())
-    head = reader.csv(path)
-    missing = missing_columns(head.columns, required)
+    reader = spark.read.option("header", "true").option("escape", '"')
+    head = reader.option("multiLine", str(multiline).lower()).csv(path).columns
+    missing = missing_columns(head, required)
     if missing:
         raise ValueError(f"the CSV at {path} lacks the columns {', '.join(missing)}")
-    kind = T.StructType([T.StructField(c, T.StringType()) for c in head.columns])
-    rows = reader.option("enforceSchema", "true").schema(kind).csv(path)
+    kind = T.StructType([T.StructField(c, T.StringType()) for c in head])
+    if multiline:
+        parsed = splits.csv_records(spark, path).select(F.from_csv("text", ", ".join(f"`{c}` string" for c in head), {"escape": '"'}).alias("r"), "row_no")
+        return parsed.select("r.*", "row_no")
+    rows = spark.read.option("header", "true").option("escape", '"').option("enforceSchema", "true").schema(kind).csv(path)
     order = F.struct(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
@@ -249,6 +252,12 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     return sheet_records(spark.read.text(path, wholetext=True).withColumnRenamed("value", "content"))
 
 
+def read_sheet_split(spark: SparkSession, path: str) -> DataFrame:
+    """A snapshot saved as one JSON document whose first member is the records list: read by many tasks."""
+    records = splits.document_records(spark, path, "records").select("record_no", F.from_json("text", _RECORD).alias("r"))
+    return _record_rows(records.select("record_no", "r.id", "r.fields"))
+
+
 def read_sheet_lines(spark: SparkSession, path: str) -> DataFrame:
     """A snapshot saved as one record per line: splits over tasks at any size."""
     rows = spark.read.schema(_RECORD).json(path)

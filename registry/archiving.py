@@ -190,3 +190,24 @@ _DONE = "d.dataset_id in (select dataset_id from classed where label in ('SUCCES
 SQL["import_archive_results"] = f"with {_CLASSED} select " + set_columns({
     "archive_status": f"case when {_DONE} then 'SUCCESS' else d.archive_status end",
     "archive_completed_at": f"case when {_DONE} then timestamp '{NOW}' else d.archive_completed_at end"}) + " from datasets d"
+
+# ---- one large file, read by many tasks ----
+
+
+def _noted(c):
+    """Results whose notes hold quotes, commas and line breaks, in file order."""
+    note = F.concat(F.lit('said "'), "error_message", F.lit('",\nthen: '), F.col("row_no").cast("string"), F.lit("\n"))
+    return c.archive_results.withColumn("error_message", note)
+
+
+def _split_results(c):
+    folder = fresh_folder(c.spark, "results")
+    fields = [*schemas.RESULT_FIELDS[:2], *schemas.RESULT_FIELDS[3:]]
+    ordered = _noted(c).repartition(1).sortWithinPartitions("row_no").select(*fields)
+    ordered.write.options(header=True, escape='"', ignoreTrailingWhiteSpace=False).csv(folder)
+    return sources.read_archive_results(c.spark, folder).drop("row_no")
+
+
+Q["archive_results_split"] = _split_results
+SQL["archive_results_split"] = """select dataset_id, task_id, mapfile_checksum, archive_path, status,
+  'said "' || error_message || '",' || chr(10) || 'then: ' || row_no || chr(10) as error_message from archive_results"""

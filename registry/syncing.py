@@ -249,6 +249,21 @@ SQL["restore_state"] = "select " + set_columns({
     "publication_status": "case when s.publication_status <> 'RETIRED' then s.publication_status else d.publication_status end",
 }) + " from datasets d left join sheet_datasets s on s.dataset_id = d.dataset_id"
 
+def _split_sheet(c):
+    """A snapshot as one JSON document over many lines, some texts with braces and quotes, read by many tasks."""
+    folder = fresh_folder(c.spark, "sheet")
+    fields = F.struct("dataset_id", "campaign", F.concat(F.lit('{"} '), "publication_status").alias("note"))
+    records = c.sheet_datasets.select(F.col("id").alias("n"), F.concat(F.to_json(F.struct("id", fields.alias("fields"))), F.lit(",")).alias("value"))
+    ends = c.spark.createDataFrame([(-(2**62), '{"records": ['), (2**62, '{"id": 0, "fields": {}}]}')], "n long, value string")
+    records.unionByName(ends).repartition(1).sortWithinPartitions("n").select("value").write.text(folder)
+    return sources.read_sheet_split(c.spark, folder).select(
+        "record_id", *[F.get_json_object("fields", f"$.{k}").alias(k) for k in ("dataset_id", "campaign", "note")])
+
+
+Q["sheet_split_scan"] = _split_sheet
+SQL["sheet_split_scan"] = """select id as record_id, dataset_id, campaign, '{"} ' || publication_status as note from sheet_datasets
+union all select 0, null, null, null"""
+
 # ---- streams over the event table ----
 
 
