@@ -11,7 +11,7 @@ from mapledger.operators import batching, reports, restore, sync
 from mapledger.session import fresh_folder
 from mapledger.sinks import outputs
 from mapledger.sources import files as sources
-from mapledger.streaming import streams
+from mapledger.streaming import leases, streams
 from registry.common import NOW, NOW_TS, catalog_columns, set_columns
 
 Q, SQL = {}, {}
@@ -347,3 +347,31 @@ SQL["lease_stream"] = f"""with s as (select cast(user_id as varchar) as attempt_
 select attempt_id, dataset_id, run_id, started_at, 'ABANDONED' as status, 'Publication claim lease expired' as error_message from s
 where started_at + interval {_LEASE} second < (select date_trunc('millisecond', now) from edge)
   and not exists (select 1 from f where f.attempt_id = s.attempt_id and f.finished_at >= s.started_at and f.finished_at <= s.started_at + interval {_LEASE} second)"""
+
+
+def _renewed_leases(c):
+    """Attempts from views: up to three heartbeats, 40 minutes apart (70, too late, for every seventh), and a finish for most."""
+    folder = fresh_folder(c.spark, "renewed")
+    e = _event_stream(c).where("event_type = 'view'")
+    k = "cast(event_id as int)"
+    steps = F.expr(f"""concat(array(named_struct('kind', 'START', 'minutes', 0)),
+      transform(if({k} % 4 = 0, cast(array() as array<int>), sequence(1, {k} % 4)), j -> named_struct('kind', 'HEARTBEAT', 'minutes', j * if({k} % 7 = 0, 70, 40))),
+      if({k} % 3 = 0, cast(array() as array<struct<kind: string, minutes: int>>), array(named_struct('kind', 'FINISH', 'minutes', {k} % 5 * 50))))""")
+    events = e.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), F.inline(steps)).select(
+        F.col("event_id").cast("string").alias("attempt_id"), "kind", F.expr("ts + make_dt_interval(0, 0, minutes)").alias("at"),
+        F.col("user_id").cast("string").alias("dataset_id"), F.lit("run").alias("run_id"))
+    with leases.state_with_timers(c.spark):
+        _run(leases.abandoned(events, 3600, "1 day").writeStream.format("parquet").option("path", f"{folder}/out").option(
+            "checkpointLocation", f"{folder}/check").outputMode("append").trigger(availableNow=True).start())
+    out = c.spark.read.schema(leases.ABANDONED).parquet(f"{folder}/out")
+    return out.select("attempt_id", "dataset_id", F.col("started_at").cast("timestamp_ntz").alias("started_at"),
+                      F.col("expired_at").cast("timestamp_ntz").alias("expired_at"), "status")
+
+
+Q["lease_timer_stream"] = _renewed_leases
+SQL["lease_timer_stream"] = """with v as (select event_id as k, user_id, ts, ts + interval 1 minute * (case when event_id % 7 = 0 then 60 else 60 + 40 * (event_id % 4) end) as expired_at,
+    case when event_id % 3 <> 0 then ts + interval 1 minute * (event_id % 5 * 50) end as finished_at,
+    greatest(ts + interval 1 minute * (event_id % 4 * case when event_id % 7 = 0 then 70 else 40 end), case when event_id % 3 <> 0 then ts + interval 1 minute * (event_id % 5 * 50) end) as seen
+  from events where event_type = 'view')
+select cast(k as varchar) as attempt_id, cast(user_id as varchar) as dataset_id, ts as started_at, expired_at, 'ABANDONED' as status from v
+where (finished_at is null or finished_at > expired_at) and expired_at + interval 1 millisecond <= (select date_trunc('millisecond', max(seen)) - interval 1 day from v)"""
