@@ -289,19 +289,27 @@ def _closed(least: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their spans: removed bytes, runs, digest of the rest."""
-    for batch in batches:
-        rows = []
-        for key, data, spans in zip(batch.column(0), column_bytes(batch.column(1)), batch.column(2), strict=True):
-            runs = merged(sorted((x["start"], x["end"]) for x in spans.as_py()))
-            rest, at = hashlib.sha256(), 0
-            for start, end in runs:
-                rest.update(data[at:start])
-                at = end
-            rest.update(data[at:])
-            rows.append((key.as_py(), sum(e - s for s, e in runs), len(runs), rest.hexdigest()))
-        yield _batch(rows, [("key", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string())])
+def _cut(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts without their spans: removed bytes, runs, digest of the rest, the rest. All of a copied text goes."""
+        for batch in batches:
+            rows = []
+            columns = (batch.column(0), column_bytes(batch.column(1)), batch.column(2), batch.column(3))
+            for doc_id, data, copies, spans in zip(*columns, strict=True):
+                runs = merged(sorted((x["start"], x["end"]) for x in spans.as_py() or ()))
+                if copies.as_py() > 1 and len(data) >= least:
+                    runs = [(0, len(data))]
+                kept, at = [], 0
+                for start, end in runs:
+                    kept.append(data[at:start].tobytes())
+                    at = end
+                kept.append(data[at:].tobytes())
+                rows.append((doc_id.as_py(), len(data), sum(e - s for s, e in runs), len(runs),
+                             hashlib.sha256(b"".join(kept)).hexdigest(), "".join(k.decode("utf-8", "ignore") for k in kept)))
+            yield _batch(rows, [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+                                ("kept_sha256", pa.string()), ("kept_text", pa.string())])
+
+    return run
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -348,21 +356,12 @@ def repeated_spans(documents: DataFrame, least: int = LEAST) -> tuple[DataFrame,
 
 
 def without_repeats(documents: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) of every row. `kept_text` is what is left of the
+    text without the characters that a run cuts in two."""
     classes, spans = repeated_spans(documents, least)
-    keyed = _keyed(documents)
-    single = classes.where("rows = 1").select("key").join(spans, "key")
-    cut = (
-        keyed.select("key", "data").join(single.hint("merge"), "key")
-        .mapInArrow(_cut, "key binary, n_removed long, n_spans long, kept string")
-    )
-    rows = keyed.select("doc_id", "key", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("whole"))
-    copied = (F.col("rows") > 1) & (F.col("n_bytes") >= least)
+    found = classes.select("key", "rows").join(spans, "key", "left")
     return (
-        rows.join(classes.select("key", "rows").hint("merge"), "key").join(cut.hint("merge"), "key", "left")
-        .select(
-            "doc_id", "n_bytes",
-            F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-            F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-            F.when(copied, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", "whole")).alias("kept_sha256"))
+        _keyed(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "key", "data").join(found.hint("merge"), "key")
+        .select("doc_id", "data", "rows", "spans")
+        .mapInArrow(_cut(least), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
     )

@@ -20,7 +20,8 @@ select e.vec_id, coalesce(n.n, 0) as n_links, least(e.vec_id, coalesce(c.least,
 from embeddings e left join counted n on n.a = e.vec_id left join classes c on c.a = e.vec_id
 """
 
-#: Every window of 400 bytes is counted; removed runs are islands of the starts that occur again.
+#: Every window of 400 bytes is counted; removed runs are islands of the starts that occur again. Characters that a run
+#: cuts in two are not in the kept text.
 REPEATS = """
 with t as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
 windows as (select doc_id, unnest(range(0, cast(len(h) / 2 as bigint) - 399)) as s, h from t where len(h) >= 800),
@@ -33,11 +34,13 @@ runs as (select doc_id, run, min(s) as a, max(s) + 400 as b from numbered group
 gaps as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as before from runs),
 kept as (
   select g.doc_id, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last_end,
-    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head,
+    string_agg(decode(unhex(regexp_replace(regexp_replace(substr(h, 2 * before + 1, 2 * (a - before)), '^([89AB][0-9A-F])+', ''), '([CD][0-9A-F]|E[0-9A-F]([89AB][0-9A-F])?|F[0-9A-F]([89AB][0-9A-F]){0,2})$', ''))), '' order by a) as head_text
   from gaps g join t on t.doc_id = g.doc_id group by g.doc_id)
 select t.doc_id, cast(len(h) / 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
   cast(coalesce(n_spans, 0) as bigint) as n_spans,
-  sha256(unhex(case when last_end is null then h else head || substr(h, 2 * last_end + 1) end)) as kept_sha256
+  sha256(unhex(case when last_end is null then h else head || substr(h, 2 * last_end + 1) end)) as kept_sha256,
+  case when last_end is null then decode(unhex(h)) else head_text || decode(unhex(regexp_replace(regexp_replace(substr(h, 2 * last_end + 1), '^([89AB][0-9A-F])+', ''), '([CD][0-9A-F]|E[0-9A-F]([89AB][0-9A-F])?|F[0-9A-F]([89AB][0-9A-F]){0,2})$', ''))) end as kept_text
 from t left join kept k on k.doc_id = t.doc_id
 """
 

@@ -53,7 +53,7 @@ def test_minmax_signature_estimates_similarity():
 def test_repeats(spark, monkeypatch, least, group):
     monkeypatch.setattr(repeats, "GROUP", group)
     rows = cases.corpus()
-    found = [tuple(r) for r in repeats.without_repeats(cases.documents(spark), least).collect()]
+    found = [tuple(r)[:5] for r in repeats.without_repeats(cases.documents(spark), least).collect()]
     def order(r):
         return r[0] is not None, r[0] or 0, r[1:]
     assert sorted(found, key=order) == sorted(cases.repeats(rows, least), key=order)
