@@ -39,10 +39,10 @@ def enum_failures(log: DataFrame) -> DataFrame:
     rows = with_once(rows, _detail=F.get_json_object(F.col("_body"), "$.detail"))
     value, choices = logs.enum_parts(F.col("_detail"))
     rows = with_once(rows, _v=value, _c=choices).filter(F.col("_v").isNotNull())
-    rows = rows.withColumn("_e", logs.enum_verdict(F.col("_v"), F.col("_c")))
+    rows = logs.with_enum_verdict(rows, "_v", "_c", F.col("_body"))
     return rows.select(
         *[c for c in log.columns if c != "line"],
-        F.col("_e.rejected").alias("rejected_value"), F.col("_e.suggested").alias("suggested_value"),
+        F.col("_enum.rejected").alias("rejected_value"), F.col("_enum.suggested").alias("suggested_value"),
     )
 
 

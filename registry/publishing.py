@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mapledger import schemas
-from mapledger.functions import logs
+from mapledger.functions import logs, similarity
 from mapledger.operators import batching, diagnostics, items, publication, reports
 from mapledger.functions.schema_rules import flatten_schemas
 from mapledger.session import fresh_folder
@@ -261,6 +261,25 @@ Q["closest_choice"] = lambda c: c.datasets.select("dataset_id", F.concat(F.lit('
 SQL["closest_choice"] = "select dataset_id, case o_orderkey % 3 when 0 then 'published' when 1 then 'retracted' end as suggested from datasets"
 
 
+def _rejected_words(c):
+    """Words of campaign activities with a letter dropped, against all activities: values and choices from the tables."""
+    words = c.campaigns.agg(F.sort_array(F.collect_set("activity")).alias("choices"))
+    cut = F.concat(F.left("activity", F.col("n")), F.substr("activity", F.col("n") + 2))
+    values = c.datasets.select("dataset_id", "activity", (F.col("o_orderkey") % 4 + 1).cast("int").alias("n")).select("dataset_id", cut.alias("value"))
+    return values.withColumn("choices", words.scalar())
+
+
+Q["suggestions"] = lambda c: similarity.with_suggestions(
+    _rejected_words(c), F.col("value"), F.col("choices"), F.col("dataset_id")).select("dataset_id", "value", F.col("_suggested").alias("suggested"))
+# A word that lacks one letter is closer to its whole than to any other of the five.
+SQL["suggestions"] = """select dataset_id, activity[1:o_orderkey % 4 + 1] || activity[o_orderkey % 4 + 3:] as value, activity as suggested from datasets"""
+Q["suggestions_judged"] = lambda c: similarity.judged_pairs(_rejected_words(c))
+SQL["suggestions_judged"] = """with v as (select distinct activity[1:o_orderkey % 4 + 1] || activity[o_orderkey % 4 + 3:] as value from datasets),
+  p as (select value, choice from v, (select distinct activity as choice from campaigns) c)
+select value, choice from p where 2.0 * list_sum(list_transform(list_distinct(string_split(value, '')), lambda x :
+  least(length(value) - length(replace(value, x, '')), length(choice) - length(replace(choice, x, ''))))) / (length(value) + length(choice)) >= 0.75"""
+
+
 def _diagnosed(c):
     told = c.publisher_log.filter(F.col("line").contains(logs.STATUS_MARK))
     last = told.groupBy("dataset_id").agg(F.max_by("line", "line_no").alias("line"), F.max("run_id").alias("run_id"))
