@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mapledger import schemas
 from mapledger.functions import states
@@ -14,20 +15,24 @@ from mapledger.functions.once import with_once
 from mapledger.functions.text import iso_timestamp, json_kind, member, text_member
 from mapledger.operators.publication import updated
 from mapledger.operators.reports import latest_success
+from mapledger.sources.responses import body_text
 
 # Defaults of a comparison.
-RETRIES = 2
 GRACE_SECONDS = 600
 
 
-def judged_responses(responses: DataFrame, retries: int = RETRIES) -> DataFrame:
+def judged_responses(responses: DataFrame, retries: int | None = None) -> DataFrame:
     """One row per requested item: the first conclusive response, else the last error.
 
+    All recorded attempts count unless ``retries`` bounds them. Bodies are text or bytes; hashes are of the bytes.
+
     Not found and a readable success are conclusive, as is any status outside the
     retried ones; overload, server errors, transport errors and unreadable bodies are
     retried. Responses condense to one row per item before the shuffle.
     """
-    r = with_once(responses.filter(F.col("attempt_no") <= retries), _doc=F.try_parse_json(F.col("body")))
+    counted = responses if retries is None else responses.filter(F.col("attempt_no") <= retries)
+    as_bytes = isinstance(responses.schema["body"].dataType, T.BinaryType)
+    r = with_once(counted, _doc=F.try_parse_json(body_text(F.col("body")) if as_bytes else F.col("body")))
     d, status = F.col("_doc"), F.col("http_status")
     is_object = F.coalesce(json_kind(d) == "OBJECT", F.lit(False))
     present = is_object & F.coalesce(
@@ -94,16 +99,19 @@ def in_grace(publication_status: Column, latest: Column, now: dt.datetime, grace
 
 def compare(
     scope: DataFrame, attempts: DataFrame, responses: DataFrame, base_url: str, now: dt.datetime,
-    retries: int = RETRIES, grace_seconds: int = GRACE_SECONDS,
+    retries: int | None = None, grace_seconds: int = GRACE_SECONDS,
 ) -> DataFrame:
-    """Outcome of every dataset in scope (dataset_id, campaign, project, publication_status)."""
+    """Outcome of every dataset in scope (dataset_id, campaign, project, publication_status).
+
+    Responses to others, and to datasets in their grace period, are left out before any body is read."""
     recent = latest_success(attempts)
     d = scope.join(recent, "dataset_id", "left").withColumns({
         "collection_id": F.col("project"), "item_id": publisher_id(F.col("dataset_id")),
     })
-    answers = judged_responses(responses, retries)
-    j = d.join(answers, ["collection_id", "item_id"], "left")
     waiting = in_grace(F.col("publication_status"), F.col("latest_success"), now, grace_seconds)
+    asked = d.filter(~waiting).select("collection_id", "item_id").distinct()
+    answers = judged_responses(responses.join(asked, ["collection_id", "item_id"], "left_semi"), retries)
+    j = d.join(answers, ["collection_id", "item_id"], "left")
     moment = F.lit(now).cast("timestamp_ntz")
 
     def unless_waiting(column: Column) -> Column:

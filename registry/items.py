@@ -10,6 +10,7 @@ from mapledger.functions.schema_rules import flatten_schemas
 from mapledger.operators import items, reconcile, selections
 from mapledger.session import fresh_folder
 from mapledger.sinks import outputs
+from mapledger.sources import responses
 from registry.common import BASE_URL, NOW, NOW_TS, catalog_columns, set_columns
 
 Q, SQL = {}, {}
@@ -157,6 +158,58 @@ Q["stac_response_scan"] = lambda c: c.stac_responses.groupBy("collection_id", "h
     F.count(F.lit(1)).alias("n"), F.count("body").alias("n_bodies"))
 SQL["stac_response_scan"] = "select collection_id, http_status, count(*) as n, count(body) as n_bodies from stac_responses group by all"
 
+
+
+def _recorded(c):
+    """Responses with bytes that are no text, an overload, a transport error, and a third attempt for some."""
+    k = F.col("k")
+    rows = c.stac_responses.join(c.datasets.select(
+        F.col("project").alias("collection_id"), F.replace("dataset_id", F.lit("#"), F.lit(".v")).alias("item_id"), F.col("o_orderkey").alias("k")),
+        ["collection_id", "item_id"])
+    good = F.concat(F.lit('{"type":"Feature","id":"'), "item_id", F.lit('","collection":"'), "collection_id", F.lit('"}'))
+    third = rows.filter((k % 16 == 3) & (F.col("attempt_no") == 1)).withColumns({
+        "attempt_no": F.lit(2), "http_status": F.lit(200), "body": good, "error": F.lit(None).cast("string")})
+    lost = (k % 8 == 3) & (F.col("attempt_no") == 1)
+    odd = rows.withColumns({
+        "http_status": F.when(lost, F.lit(None)).when(k % 8 == 3, F.lit(429)).otherwise(F.col("http_status")),
+        "error": F.when(lost, F.lit("ConnectionError: reset")).otherwise(F.col("error"))})
+    everything = odd.unionByName(third)
+    return everything.withColumn("body", F.when(k % 8 == 1, F.concat(F.unhex(F.lit("FF7B")), F.col("body").cast("binary"))).otherwise(F.col("body").cast("binary")))
+
+
+def _recorded_store(c):
+    return responses.write_responses(_recorded(c), fresh_folder(c.spark, "responses"))
+
+
+Q["recorded_responses"] = lambda c: responses.read_responses(c.spark, _recorded_store(c)).select(
+    "collection_id", "item_id", "attempt_no", "http_status", states.response_hash(F.col("body")).alias("response_hash"), "error")
+_RECORDED = """kept as (select r.collection_id, r.item_id, r.attempt_no, r.http_status, cast(r.body as varchar) as body, r.error, d.o_orderkey as k
+    from stac_responses r join datasets d on d.project = r.collection_id and replace(d.dataset_id, '#', '.v') = r.item_id),
+  recorded as (select collection_id, item_id, attempt_no, k, case when k % 8 = 3 and attempt_no = 1 then null when k % 8 = 3 then 429 else http_status end as http_status,
+      case when k % 8 = 1 then unhex('FF7B') || encode(body) else encode(body) end as body, case when k % 8 = 3 and attempt_no = 1 then 'ConnectionError: reset' else error end as error from kept
+    union all select collection_id, item_id, 2, k, 200, encode('{"type":"Feature","id":"' || item_id || '","collection":"' || collection_id || '"}'), null from kept where k % 16 = 3 and attempt_no = 1)"""
+SQL["recorded_responses"] = f"with {_RECORDED} select collection_id, item_id, attempt_no, http_status, sha256(coalesce(body, encode(''))) as response_hash, error from recorded"
+
+Q["recorded_answers"] = lambda c: reconcile.judged_responses(responses.read_responses(c.spark, _recorded_store(c))).select(
+    "collection_id", "item_id", "outcome", "http_status", "response_hash", "error_message")
+SQL["recorded_answers"] = f"""with {_RECORDED}, told as (select *, k % 8 in (0, 2, 4, 6, 7) or k % 16 = 3 as final from recorded),
+  one as (select collection_id, item_id, k, arg_max(http_status, attempt_no) as s, arg_max(body, attempt_no) as b, bool_or(final) as final from told group by all)
+select collection_id, item_id, case when not final or k % 8 = 4 then 'ERROR' when k % 8 = 0 then 'ABSENT' when k % 8 = 6 then 'MISMATCH' else 'PRESENT' end as outcome,
+  case when final then s end as http_status, case when final then sha256(coalesce(b, encode(''))) end as response_hash,
+  case when k % 8 in (1, 5) then 'JSONDecodeError: response body is not valid JSON' when not final then 'ConnectionError: reset' when k % 8 = 4 then 'Unexpected HTTP status 403'
+    when k % 8 = 6 then 'STAC response identity or type does not match the request' end as error_message from one"""
+
+
+def _some_recorded(c):
+    """Of one collection every fortieth item: only its folders are read."""
+    wanted = c.datasets.filter((F.col("project") == "CMIP6") & (F.col("o_orderkey") % 40 == 2)).select(
+        F.col("project").alias("collection_id"), F.replace("dataset_id", F.lit("#"), F.lit(".v")).alias("item_id"))
+    return responses.read_responses(c.spark, _recorded_store(c), wanted).select("item_id", "attempt_no", "http_status")
+
+
+Q["recorded_lookup"] = _some_recorded
+SQL["recorded_lookup"] = f"with {_RECORDED} select item_id, attempt_no, http_status from recorded where collection_id = 'CMIP6' and k % 40 = 2"
+
 Q["response_hash"] = lambda c: c.stac_responses.select("item_id", "attempt_no", states.response_hash(F.col("body")).alias("response_hash"))
 SQL["response_hash"] = "select item_id, attempt_no, sha256(coalesce(body, '')) as response_hash from stac_responses"
 

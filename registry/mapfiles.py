@@ -9,7 +9,9 @@ from mapledger.functions import ids, mapfile
 from mapledger.functions.text import normalize_id
 from mapledger.operators import registration, validation
 from mapledger.plans import workflows
+from mapledger.session import fresh_folder
 from mapledger.sources import files as sources
+from mapledger.sources import listing
 from registry.common import (
     BASE_URL, BY_PROJECT, MAPPINGS, NOW, NOW_TS, PROJECT_NAMES, STRICT_MAPPINGS, by_project, catalog_columns, project_specs,
     set_columns,
@@ -327,3 +329,19 @@ Q["replace_campaigns"] = lambda c: registration.replace_campaigns(
         "mapfile_root": F.lit("/new"), "name": F.when(F.col("archive_depth") == "variable", F.concat("name", F.lit("-b"))).otherwise(F.col("name"))}))
 SQL["replace_campaigns"] = """select name, project, activity, institution, case when archive_depth = 'experiment' then '/new' else mapfile_root end as mapfile_root, archive_root, archive_depth from campaigns
 union all select name || '-b', project, activity, institution, '/new', archive_root, archive_depth from campaigns where archive_depth = 'variable'"""
+
+
+def _listed_tree(c):
+    """The mapfiles' lines as a tree of files by campaign and mapfile key, listed in tasks."""
+    folder = fresh_folder(c.spark, "tree")
+    rows = c.mapfile_lines.join(c.datasets.select("mapfile", "campaign"), "mapfile").withColumn("part", F.col("o_orderkey") % 3)
+    rows.select("campaign", "part", F.col("line").alias("value")).repartition("campaign", "part").write.partitionBy("campaign", "part").text(folder)
+    found = listing.list_tree(c.spark, folder)
+    place = F.regexp_extract("path", r"/campaign=([^/]+)/part=(\d)/part-[^/]*\.txt$", 1)
+    return found.select(place.alias("campaign"), F.regexp_extract("path", r"/part=(\d)/part-[^/]*\.txt$", 1).alias("part"), "length").where(
+        "campaign <> ''").groupBy("campaign", "part").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
+Q["file_listing"] = _listed_tree
+SQL["file_listing"] = """select d.campaign, cast(l.o_orderkey % 3 as varchar) as part, cast(1 as bigint) as n_files, cast(sum(strlen(l.line) + 1) as bigint) as n_bytes
+from mapfile_lines l join datasets d on d.mapfile = l.mapfile group by 1, 2"""
