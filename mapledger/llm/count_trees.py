@@ -191,7 +191,8 @@ def default_ranks() -> tuple[str, str]:
 
 
 def with_trees(documents: DataFrame, ranks: tuple[str, str] | None = None) -> DataFrame:
-    """Add `tree`, a document's packed segment tree, and `n_tokens`, the count at its root."""
+    """Add `tree`, a document's packed segment tree, and `n_tokens`, the count at its root; own columns of these names
+    give way."""
     path, pattern = ranks or default_ranks()
 
     @F.arrow_udf("struct<tree: binary, n_tokens: bigint>")
@@ -203,7 +204,7 @@ def with_trees(documents: DataFrame, ranks: tuple[str, str] | None = None) -> Da
             names=["tree", "n_tokens"])
 
     return documents.withColumn("_built", built("text")).select(
-        *[F.col(f"`{c}`") for c in documents.columns], F.col("_built.tree").alias("tree"),
+        *[F.col(f"`{c}`") for c in documents.columns if c not in ("tree", "n_tokens")], F.col("_built.tree").alias("tree"),
         F.col("_built.n_tokens").alias("n_tokens"))
 
 

@@ -142,7 +142,7 @@ def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Dat
 
 
 def accepted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The documents that the model does not reject, with their own columns."""
+    """The documents that the model does not reject, with their own columns, whatever their names."""
     model = fit(documents, labelled_quality(labels), sample=sample)
-    kept = with_posteriors(documents, model, "_posteriors").where(F.col("_posteriors")[1] >= THRESHOLD)
-    return kept.select(*documents.columns)
+    own = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"), "text")
+    return with_posteriors(own, model).where(F.col("posteriors")[1] >= THRESHOLD).select("own.*")
