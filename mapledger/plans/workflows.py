@@ -7,10 +7,12 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mapledger import schemas
 from mapledger.operators import (
     archive, batching, publication, reconcile, registration, reports, restore, selections, sync,
 )
@@ -154,8 +156,9 @@ def import_archive(datasets: DataFrame, tasks: DataFrame, results: DataFrame, no
 def sync_batches(
     datasets: DataFrame, campaigns: DataFrame, attempts: DataFrame, snapshots: dict[str, DataFrame],
     max_records: int = batching.RECORDS_PER_BATCH, max_bytes: int = batching.MAX_PAYLOAD_BYTES,
+    diagnostics: DataFrame | None = None,
 ) -> DataFrame:
-    """Request bodies that bring a sheet up to date with the catalog reports.
+    """Request bodies that bring a sheet up to date with the catalog reports, and with diagnostic rows where given.
 
     ``snapshots`` gives per sheet table its keys (record_no, record_id, key columns).
     """
@@ -164,11 +167,13 @@ def sync_batches(
         "Datasets": reports.campaign_status(datasets, attempts),
         "Failures": reports.failures(datasets, attempts),
     }
+    if diagnostics is not None:
+        reports_by_table["Diagnostics"] = diagnostics.select(*schemas.DIAGNOSTICS.names)
     parts = []
     for table, rows in reports_by_table.items():
         key, _ = sync.TABLES[table]
         parts.append(sync.records(sync.upserts(rows, snapshots[table], key), table))
-    everything = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    everything = reduce(DataFrame.unionByName, parts)
     batched = batching.payload_batches(
         everything, ["table_name", "kind"], ["order_key", "record"], "n_bytes", max_records, max_bytes
     )

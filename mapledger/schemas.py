@@ -16,6 +16,7 @@ def _schema(required: str = "", **fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t, n not in not_null) for n, t in fields.items()])
 
 
+# Names and columns of the catalog tables.
 CAMPAIGNS = _schema(
     "name project activity institution mapfile_root",
     name=_S, project=_S, activity=_S, institution=_S, mapfile_root=_S,

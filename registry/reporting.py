@@ -21,29 +21,42 @@ _LATEST = """latest as (select dataset_id, status as last_attempt_status, starte
 
 
 def _tables(c):
-    """Row counts and fingerprints of every catalog table read with its fixed schema."""
+    """Row counts and key fingerprints of all seven catalog tables, written and read back with their fixed schemas."""
+    from mapledger.operators import reconcile
+    from mapledger.sources.files import read_table
+    from registry.items import _checks
+    from registry.publishing import _diagnosed
+
     folder = fresh_folder(c.spark, "tables")
-    frames = {"campaigns": c.campaigns, "datasets": catalog_columns(c.datasets), "files": c.files,
-              "publication_attempts": c.publication_attempts, "archive_tasks": c.archive_tasks}
-    out = []
+    checks = reconcile.check_rows(_checks(c), "stac-1", F.sha2("dataset_id", 256))
+    frames = {"campaigns": c.campaigns, "datasets": c.datasets, "files": c.files, "publication_attempts": c.publication_attempts,
+              "diagnostic_attempts": _diagnosed(c), "archive_tasks": c.archive_tasks, "stac_reconciliation_attempts": checks}
+    total = None
     for name, df in frames.items():
         schema = schemas.TABLES[name]
         df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.parquet(f"{folder}/{name}")
-        from mapledger.sources.files import read_table
-
-        back = read_table(c.spark, f"{folder}/{name}", name)
-        out.append(back.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows"))
-    total = out[0]
-    for df in out[1:]:
-        total = total.unionByName(df)
+        key = F.md5(F.concat_ws("|", *schemas.PRIMARY_KEYS[name]).cast("binary"))
+        row = read_table(c.spark, f"{folder}/{name}", name).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(F.conv(F.substr(key, F.lit(1), F.lit(8)), 16, 10).cast("bigint")).alias("key_sum")
+        ).select(F.lit(name).alias("table_name"), "n_rows", "key_sum")
+        total = row if total is None else total.unionByName(row)
     return total
 
 
+def _tables_sql() -> str:
+    from registry.items import SQL as items_sql
+    from registry.publishing import SQL as publishing_sql
+
+    keys = {t: " || '|' || ".join(schemas.PRIMARY_KEYS[t]) for t in schemas.TABLES}
+    sources = {t: t for t in ("campaigns", "datasets", "files", "publication_attempts", "archive_tasks")} | {
+        "diagnostic_attempts": f"({publishing_sql['diagnostic_outcome']}) q", "stac_reconciliation_attempts": f"({items_sql['check_history']}) q"}
+    return " union all ".join(
+        f"select '{t}' as table_name, count(*) as n_rows, cast(sum(cast('0x' || substr(md5({keys[t]}), 1, 8) as bigint)) as bigint) as key_sum from {sources[t]}"
+        for t in schemas.TABLES)
+
+
 Q["catalog_tables"] = _tables
-SQL["catalog_tables"] = " union all ".join(
-    f"select '{t}' as table_name, count(*) as n_rows from {t}"
-    for t in ("campaigns", "datasets", "files", "publication_attempts", "archive_tasks")
-)
+SQL["catalog_tables"] = _tables_sql()
 
 Q["latest_attempt"] = lambda c: reports.latest_attempt(c.publication_attempts)
 SQL["latest_attempt"] = f"with {_LATEST} select dataset_id, attempt_id, last_attempt_status, started_at, finished_at, log_file from latest where rn = 1"

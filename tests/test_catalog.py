@@ -122,8 +122,11 @@ def test_response_judgement(spark):
     for k in cases:
         out[k] = one(reconcile.judged_responses(df.filter(F.col("k") == k).drop("k")))
     assert {k: r.outcome for k, r in out.items()} == {
-        "present": "PRESENT", "absent": "ABSENT", "mismatch": "MISMATCH", "list": "MISMATCH", "retry": "PRESENT", "gaveup": "ERROR", "late": "ERROR",
+        "present": "PRESENT", "absent": "ABSENT", "mismatch": "MISMATCH", "list": "MISMATCH", "retry": "PRESENT", "gaveup": "ERROR", "late": "PRESENT",
         "forbidden": "ERROR", "broken": "ABSENT", "numeric": "MISMATCH"}
+    # The bound belongs to requests: what is recorded counts unless a bound is given.
+    late = df.filter(F.col("k") == "late").drop("k")
+    assert one(reconcile.judged_responses(late, retries=2)).outcome == "ERROR"
     assert out["gaveup"].http_status is None and out["gaveup"].error_message == "HTTPError: 502 Server Error"
     assert out["forbidden"].http_status == 403 and out["forbidden"].error_message == "Unexpected HTTP status 403"
     assert out["mismatch"].response_item_id == "j" and out["gaveup"].response_hash is None
