@@ -165,10 +165,11 @@ def read_archive_tasks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def log_lines(texts: DataFrame) -> DataFrame:
-    """Lines of a text scan as (run_id, file, block, seq, line); the run is the file's name."""
+    """Lines of a text scan as (run_id, file, block, seq, line); the run is the folder ``run_id=...`` or the file's name."""
     path = F.col("_metadata.file_path")
+    named = F.col("run_id").cast("string") if "run_id" in texts.columns else F.regexp_replace(basename(path), r"\.log$", "")
     return texts.select(
-        F.regexp_replace(basename(path), r"\.log$", "").alias("run_id"), path.alias("file"),
+        named.alias("run_id"), path.alias("file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"),
         F.col("value").alias("line"),
     )

@@ -53,3 +53,20 @@ def set_columns(changes: dict[str, str], prefix: str = "d.") -> str:
         f"{changes[c]} as {c}" if c in changes else f"{prefix}{c}"
         for c in (x.strip() for x in DATASET_COLUMNS.split(","))
     )
+
+
+def written_files(df, folder: str) -> str:
+    """Write (name, text) rows as one file each into a folder that the executors share, as a publisher would."""
+    from pathlib import Path
+
+    place = Path(folder.removeprefix("file://").removeprefix("file:"))
+
+    def write(batches):
+        for batch in batches:
+            place.mkdir(parents=True, exist_ok=True)
+            for name, text in zip(batch["name"], batch["text"]):
+                (place / name).write_text(text, encoding="utf-8")
+            yield batch[["name"]]
+
+    df.select("name", "text").mapInPandas(write, "name string").write.format("noop").mode("overwrite").save()
+    return folder

@@ -10,8 +10,8 @@ from mapledger.functions.schema_rules import flatten_schemas
 from mapledger.operators import items, reconcile, selections
 from mapledger.session import fresh_folder
 from mapledger.sinks import outputs
-from mapledger.sources import responses
-from registry.common import BASE_URL, NOW, NOW_TS, catalog_columns, set_columns
+from mapledger.sources import files, responses
+from registry.common import BASE_URL, NOW, NOW_TS, catalog_columns, set_columns, written_files
 
 Q, SQL = {}, {}
 
@@ -64,6 +64,20 @@ SQL["is_stac_item"] = "select file_name, o_orderkey % 19 <> 0 and o_orderkey % 3
 Q["stac_clean_preview"] = lambda c: items.clean_preview(c.stac_items.filter(F.col("file_name").rlike(r"^CMIP6\..*\.json$")))
 SQL["stac_clean_preview"] = "select file_name from stac_items where o_orderkey % 19 <> 0 and o_orderkey % 31 <> 0 and file_name like 'CMIP6.%.json'"
 
+
+
+def _item_folder(c):
+    """Every item as a file of its own."""
+    return written_files(c.stac_items.select(F.col("file_name").alias("name"), F.col("doc").alias("text")), fresh_folder(c.spark, "items"))
+
+
+Q["stac_item_files"] = lambda c: files.read_items(c.spark, _item_folder(c)).select(
+    "file_name", "item_id", F.try_parse_json("doc").isNotNull().alias("readable"), F.md5(F.col("doc").cast("binary")).alias("doc_hash"))
+SQL["stac_item_files"] = """select file_name, regexp_replace(file_name, '\\.json$', '') as item_id, json_valid(doc) as readable, md5(doc) as doc_hash from stac_items"""
+
+Q["stac_clean_files"] = lambda c: items.clean_preview(files.read_item_folder(c.spark, _item_folder(c), "CMIP6.*.json"))
+SQL["stac_clean_files"] = "select file_name from stac_items where o_orderkey % 19 <> 0 and o_orderkey % 31 <> 0 and file_name like 'CMIP6.%.json'"
+
 Q["json_path"] = lambda c: c.datasets.select(
     "dataset_id", items.json_path(F.array(F.lit("properties"), F.col("campaign"), F.concat(F.lit("["), (F.col("o_orderkey") % 7).cast("string"), F.lit("]")))).alias("path"))
 SQL["json_path"] = "select dataset_id, '$.properties.' || campaign || '[' || (o_orderkey % 7) || ']' as path from datasets"

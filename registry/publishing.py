@@ -10,6 +10,7 @@ from mapledger.operators import batching, diagnostics, items, publication, repor
 from mapledger.functions.schema_rules import flatten_schemas
 from mapledger.session import fresh_folder
 from mapledger.sinks import outputs
+from mapledger.sources import files as sources
 from registry.common import CLAIM_NOW, CLAIM_TS, LEASE, NOW, NOW_TS, catalog_columns, set_columns
 
 Q, SQL = {}, {}
@@ -108,6 +109,26 @@ Q["publisher_log_scan"] = lambda c: c.publisher_log.groupBy(*_SCOPE).agg(
 SQL["publisher_log_scan"] = """select run_id, batch_no, count(*) as n_lines, count(*) filter (where contains(line, 'PUB_STATUS=')) as n_status,
   count(*) filter (where contains(line, ' ERROR ') or starts_with(line, 'ERROR')) as n_error from publisher_log group by run_id, batch_no"""
 
+
+
+def _log_files(c):
+    """Log files by run with a heading above each batch, read back."""
+    folder = fresh_folder(c.spark, "logs")
+    headings = c.publisher_log.select("run_id", "batch_no").distinct().select(
+        "run_id", "batch_no", F.lit(-1).cast("bigint").alias("line_no"), F.concat(F.lit("Batch: "), F.col("batch_no").cast("string")).alias("line"))
+    order = ["run_id", "batch_no", "line_no"]
+    _log(c).unionByName(headings).repartition("run_id").sortWithinPartitions(*order).select("run_id", F.col("line").alias("value")).write.partitionBy(
+        "run_id").text(folder)
+    return sources.read_logs(c.spark, folder)
+
+
+Q["publisher_log_files"] = lambda c: _log_files(c).filter(~F.col("line").startswith("Batch: ")).groupBy("run_id", "batch_no").agg(
+    F.count(F.lit(1)).alias("n_lines"), F.count_if(F.col("line").contains(logs.STATUS_MARK)).alias("n_status"),
+    F.count_if(logs.is_error_line(F.col("line"))).alias("n_error"))
+SQL["publisher_log_files"] = f"select run_id, cast(batch_no as varchar) as batch_no, n_lines, n_status, n_error from ({SQL['publisher_log_scan']}) s"
+
+Q["log_file_errors"] = lambda c: publication.error_texts(_log_files(c), _SCOPE)
+
 Q["pub_status_matches"] = lambda c: publication.reported_statuses(_log(c), _SCOPE)
 SQL["pub_status_matches"] = f"with {_HITS} select run_id, batch_no, line_no, 0 as match_no, status, emitted_id from hits"
 
@@ -116,6 +137,7 @@ _ERRORS = """errors as (select run_id, batch_no, coalesce(arg_max(trim(line), li
     arg_max(trim(line), line_no) filter (where contains(line, 'PUB_STATUS=FAIL'))) as error_text from publisher_log
   where contains(line, ' ERROR ') or starts_with(line, 'ERROR') or contains(line, 'PUB_STATUS=FAIL') group by run_id, batch_no)"""
 SQL["error_message"] = f"with {_ERRORS} select * from errors"
+SQL["log_file_errors"] = f"with {_ERRORS} select run_id, cast(batch_no as varchar) as batch_no, error_text from errors"
 
 
 def _members(c):
