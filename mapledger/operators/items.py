@@ -66,27 +66,63 @@ def _member_kinds(doc: Column) -> Column:
     return F.struct(*[json_kind(member(doc, f"$.{name}")).alias(name) for name, *_ in CORE_MEMBERS])
 
 
+def _needed_text(owner: Column, path: Column, name: str) -> Column:
+    """The issue of a text member that an object needs; null where it has one."""
+    found = member(owner, f"$.{name}")
+    place = F.concat(path, F.lit(f".{name}"))
+    # Check names and texts of the item model.
+    return F.when(found.isNull(), _issue(place, F.lit("Field required"), F.lit("missing"), F.to_json(owner))).when(
+        json_kind(found) != "STRING",
+        _issue(place, F.lit("Input should be a valid string"), F.lit("string_type"), F.coalesce(text_member(found, "$"), F.to_json(found))))
+
+
+def _parts_issues(value: Column, path: Column, kind: str, names: tuple[str, ...]) -> Column:
+    """Issues of one link or asset: an object with its text members."""
+    odd = F.array(_issue(
+        path, F.lit(f"Input should be a valid dictionary or instance of {kind}"), F.lit("model_type"), F.coalesce(text_member(value, "$"), F.to_json(value))))
+    return F.when(json_kind(value) != "OBJECT", odd).otherwise(F.array(*[_needed_text(value, path, n) for n in names]))
+
+
+def _member_issues(doc: Column) -> dict[str, Column]:
+    """By core member, the issues of what it holds: the time of the item, its links, its assets."""
+    properties = member(doc, "$.properties")
+    time = F.when((json_kind(properties) == "OBJECT") & member(properties, "$.datetime").isNull(), F.array(_issue(
+        F.lit("$.properties.datetime"), F.lit("Field required"), F.lit("missing"), F.to_json(properties))))
+    links = F.flatten(F.transform(F.try_variant_get(doc, "$.links", "array<variant>"), lambda v, i: _parts_issues(
+        v, F.concat(F.lit("$.links["), i.cast("string"), F.lit("]")), "Link", ("href", "rel"))))
+    assets = F.flatten(F.transform(F.map_entries(F.try_variant_get(doc, "$.assets", "map<string,variant>")), lambda e: _parts_issues(
+        e["value"], F.concat(F.lit("$.assets."), e["key"]), "Asset", ("href",))))
+    empty = F.array().cast(model_type())
+    return {n: F.filter(F.coalesce(x.cast(model_type()), empty), lambda i: i.isNotNull())
+            for n, x in (("properties", time), ("links", links), ("assets", assets))}
+
+
 def _structure_issues(doc: Column, raw: Column, kinds: Column, box: Column) -> Column:
     """Array of issues of one parsed item: model members first, map bounds only when those hold."""
     none = F.lit(None).cast("string")
+    empty = F.array().cast(model_type())
+    held = _member_issues(doc)
     model = []
     for name, kind, check, text in CORE_MEMBERS:
         found = kinds[name]
         wrong = (found != kind) & (found != "VOID") if name == "geometry" else found != kind
-        model.append(F.when(
+        issue = F.when(
             found.isNull(), _issue(F.lit(f"$.{name}"), F.lit("Field required"), F.lit("missing"), F.to_json(doc)),
-        ).when(wrong, _issue(F.lit(f"$.{name}"), F.lit(text), F.lit(check), text_member(doc, f"$.{name}"))))
-    model.append(F.when(
+        ).when(wrong, _issue(F.lit(f"$.{name}"), F.lit(text), F.lit(check), text_member(doc, f"$.{name}")))
+        model.append(F.array_compact(F.array(issue)).cast(model_type()))
+        model.extend([held[name]] if name in held else [])
+    feature = F.when(
         (kinds["type"] == "STRING") & (text_member(doc, "$.type") != "Feature"),
         _issue(F.lit("$.type"), F.lit("Input should be 'Feature'"), F.lit("literal_error"), text_member(doc, "$.type")),
-    ))
+    )
+    model.append(F.array_compact(F.array(feature)).cast(model_type()))
     # Nearly every document is fine: one test, and the issues are only listed where it fails.
     sound = F.coalesce(
         *[F.when(kinds[name].isNull() | (kinds[name] != kind), F.lit(False)) for name, kind, *_ in CORE_MEMBERS if name != "geometry"],
         F.when(kinds["geometry"].isNull() | ~kinds["geometry"].isin("OBJECT", "VOID"), F.lit(False)),
+        *[F.when(F.size(x) > 0, F.lit(False)) for x in held.values()],
         text_member(doc, "$.type") == "Feature",
     )
-    empty = F.array().cast(model_type())
 
     def outside(i: int, bound: float) -> Column:
         return F.coalesce((F.get(box, i) < -bound) | (F.get(box, i) > bound), F.lit(True))
@@ -100,7 +136,7 @@ def _structure_issues(doc: Column, raw: Column, kinds: Column, box: Column) -> C
         beyond,
         F.array(_issue(F.lit("$"), F.concat(F.lit("ValueError: bbox is outside WGS84 bounds: "), shown), none, none)),
     ).otherwise(empty)
-    return F.when(~sound, F.array_compact(F.array(*model))).otherwise(bounds)
+    return F.when(~sound, F.concat(*model)).otherwise(bounds)
 
 
 def model_type() -> str:

@@ -179,3 +179,20 @@ def test_literals_without_a_parser(spark):
     assert found == [("air_temperatur", "air_temperature"), ("it's", "it's"), ("plain", "plane"), ("a'b", "a'b"), ("5", None),
                      ("None", None), ("x", None), ("x", None), (None, None)]
     assert [r.e.rejected_repr for r in out][:4] == [repr("air_temperatur"), repr("it's"), repr("plain"), repr("a'b")]
+
+
+def test_structure_of_time_links_and_assets(spark):
+    def doc(**changes):
+        return json.dumps({**json.loads(_item({})), **changes})
+
+    docs = [doc(links=[{"href": "a", "rel": "self"}], assets={"d": {"href": "x"}}), doc(properties={}), doc(links=[{"rel": "self"}, "x", {"href": 1, "rel": "r"}]),
+            doc(assets={"d": {}, "e": 5}), doc(properties={"datetime": None}), doc(links=[{}], assets=3)]
+    table = spark.createDataFrame([(f"i{k}", d, f"i{k}.json") for k, d in enumerate(docs)], "item_id string, doc string, file_name string")
+    found = {}
+    for r in items.structure_issues(table).orderBy("item_id", "issue_no").collect():
+        found.setdefault(r.item_id, []).append((r.path, r.validator, r.rejected_value))
+    assert found == {
+        "i1": [("$.properties.datetime", "missing", "{}")],
+        "i2": [("$.links[0].href", "missing", '{"rel":"self"}'), ("$.links[1]", "model_type", "x"), ("$.links[2].href", "string_type", "1")],
+        "i3": [("$.assets.d.href", "missing", "{}"), ("$.assets.e", "model_type", "5")],
+        "i5": [("$.links[0].href", "missing", "{}"), ("$.links[0].rel", "missing", "{}"), ("$.assets", "dict_type", "3")]}
