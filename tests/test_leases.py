@@ -60,3 +60,27 @@ def test_a_beat_that_fills_a_gap_counts_for_later_ones():
 @pytest.mark.parametrize("bad", [(None, "START", T0, "d", "r"), ("x", "START", None, "d", "r"), ("x", "OTHER", T0, "d", "r")])
 def test_rows_without_key_time_or_meaning(spark, bad):
     assert Stream(spark).feed(bad, event("z", "START", 1)) == {}
+
+
+def test_attempts_of_a_lot_share_state_and_timer_but_end_on_their_own(spark, monkeypatch):
+    monkeypatch.setattr(leases, "LOTS", 2, raising=False)
+    stream = Stream(spark)
+    started = [event(f"a{n}", "START", n) for n in range(200)] + [event(f"a{n}", "FINISH", n + 10) for n in range(0, 200, 4)]
+    found = [stream.feed(*started), stream.feed(event("b", "START", 239)), stream.feed(event("z", "START", 1000))]
+    left = [n for n in range(200) if n % 4]
+    # The watermark stands at minutes 206, 239 and 1000 (an end has to be passed by a millisecond).
+    for rows, now in zip(found, (206, 239, 1000), strict=True):
+        assert rows == {f"a{n}": n + 60 for n in left if n + 60 < now} | ({"b": 299} if now == 1000 else {})
+
+
+def test_state_is_reached_by_lot(spark, monkeypatch):
+    monkeypatch.setattr(leases, "LOTS", 2, raising=False)
+    folder = fresh_folder(spark, "leases")
+    spark.createDataFrame([event(f"a{n}", "START", n) for n in range(100)], KIND).coalesce(1).write.parquet(f"{folder}/in")
+    source = spark.readStream.schema(KIND).parquet(f"{folder}/in")
+    with leases.state_with_timers(spark):
+        query = leases.abandoned(source, 3600, "1 day").writeStream.format("noop").option("checkpointLocation", f"{folder}/check").outputMode(
+            "append").trigger(availableNow=True).start()
+        query.awaitTermination()
+    # A value and a timer with its index for each lot, not for each of 100 attempts.
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) <= 6
