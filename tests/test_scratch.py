@@ -1,13 +1,18 @@
 """What registered queries leave on the disk: tables, shuffles and item files of their own rows."""
 
 import datetime as dt
+import gzip
+import hashlib
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from mapledger import session
 from mapledger.fixtures.projection import Catalog
 from registry import items as item_queries
+from mapledger.sources import files
+from registry import items as item_queries
 from registry import reporting
 
 DAY = dt.datetime(2024, 1, 2)
@@ -37,8 +42,7 @@ def held(root):
 def folder(spark, tmp_path, monkeypatch):
     """The folder that holds what queries write meanwhile."""
     fresh = lambda _, purpose: f"file://{tmp_path}/{purpose}"
-    for module in (reporting, item_queries):
-        monkeypatch.setattr(module, "fresh_folder", fresh)
+    monkeypatch.setattr(reporting, "fresh_folder", fresh)
     return tmp_path
 
 
@@ -58,3 +62,31 @@ def test_shuffles_go_with_the_write(spark, tmp_path):
         spark.range(1000).repartition(7, "id").write.parquet(f"{tmp_path}/a")
         assert kept() <= before
     assert spark.conf.get(session._FREED) == "false"
+
+
+@pytest.mark.parametrize("lot", [1 << 19, 7])
+def test_item_files_are_written_read_and_removed_by_lots(spark, folder, monkeypatch, lot):
+    monkeypatch.setattr(item_queries, "FILES", lot, raising=False)
+    monkeypatch.setattr(item_queries, "fresh_folder", lambda _, purpose: f"file://{folder}/{purpose}")
+    found = {r.file_name: r for r in item_queries.Q["stac_item_files"](Own(spark, "none")).collect()}
+    expected = {r.file_name: r.doc for r in Own(spark, "none").stac_items.collect()}
+    assert set(found) == set(expected) and len(found) == 40
+    assert all(found[k].doc_hash == hashlib.md5(v.encode()).hexdigest() and found[k].readable == (v != "{bad") for k, v in expected.items())
+    assert not list(folder.rglob("CMIP6*.json"))
+
+
+def test_items_are_listed_by_tasks(spark, tmp_path):
+    for name, text in (("CMIP6.a+b %41.json", "{}"), ("CMIP6.x.json", "é"), ("CMIP6.empty.json", ""), ("_CMIP6.json", "h"), (".CMIP6.json", "h"), ("o.json", "[]")):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    (tmp_path / "CMIP6.z.json.gz").write_bytes(gzip.compress(b"{1}"))
+    (tmp_path / "CMIP6.f").mkdir()
+    (tmp_path / "CMIP6.f" / "in.json").write_text("{}")
+    every = files.read_items(spark, str(tmp_path))
+    assert every.inputFiles() == []
+    assert {r.file_name: r.doc for r in every.collect()} == {
+        "CMIP6.a+b %41.json": "{}", "CMIP6.x.json": "é", "o.json": "[]", "CMIP6.z.json.gz": "{1}"}
+    some = files.read_item_folder(spark, f"file://{tmp_path}/", "CMIP6.[!a]{,.json}")
+    assert {r.file_name: (r.item_id, r.doc) for r in some.collect()} == {"CMIP6.x.json": ("CMIP6.x", "é"), "in.json": ("in", "{}")}
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.read_item_folder(spark, str(tmp_path), "none*")
+    assert files.read_items(spark, f"{tmp_path}/o.json").first()["doc"] == "[]"
